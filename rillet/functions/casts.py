@@ -1,59 +1,43 @@
-"""Text to typed values.  An empty text and a text of the wrong form both give null."""
+"""Text to typed values, as SQL expressions over a text expression.
 
-from pyspark.sql import Column, functions as F
+Null stays null; a text of the wrong form gives null.  An empty text counts as null where the
+caller says so (`blank_as_null`).  Spark's casts trim blanks, so the form is checked first.
+"""
 
-# Spark's casts trim blanks, so the form is checked first.
-INTEGER = r"\A[+-]?[0-9]+\z"
-TIMESTAMP = r"\A\d{4}-\d\d-\d\d[ T]\d\d:\d\d:\d\d(\.\d{1,9})?\z"
-DATE = r"\A\d{4}-\d\d-\d\d\z"
-UUID = r"\A[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\z"
+# Forms a text must have for its type.
+FORMS = {
+    "int": r"\A[+-]?[0-9]+\z",
+    "bigint": r"\A[+-]?[0-9]+\z",
+    "timestamp_ntz": r"\A\d{4}-\d\d-\d\d[ T]\d\d:\d\d:\d\d(\.\d{1,9})?\z",
+    "date": r"\A\d{4}-\d\d-\d\d\z",
+}
+UUID_FORM = r"\A[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\z"
 
 
-def text_value(text: Column) -> Column:
-    return F.when(text != "", text)
+def blank_as_null(text: str) -> str:
+    return f"nullif({text}, '')"
 
 
-def integer_value(text: Column, sql_type: str = "int") -> Column:
-    return F.when((text != "") & text.rlike(INTEGER), text.try_cast(sql_type))
+def typed_value(text: str, sql_type: str) -> str:
+    """The value of a text in a table type.
 
-
-def number_value(text: Column, sql_type: str) -> Column:
-    """Doubles and decimals; a decimal is rounded half up to its scale, overflow gives null."""
-    return F.when(text != "", text.try_cast(sql_type))
-
-
-def boolean_value(text: Column) -> Column:
-    return F.when(text == "1", F.lit(True)).when(text == "0", F.lit(False))
-
-
-def timestamp_value(text: Column) -> Column:
-    return F.when((text != "") & text.rlike(TIMESTAMP), text.try_cast("timestamp_ntz"))
-
-
-def date_value(text: Column) -> Column:
-    return F.when((text != "") & text.rlike(DATE), text.try_cast("date"))
-
-
-def uuid_value(text: Column) -> Column:
-    return F.when((text != "") & text.rlike(UUID), F.lower(text))
+    Booleans are written 1 and 0.  A decimal is rounded half up to its scale; overflow gives null.
+    """
+    if sql_type == "string":
+        return text
+    if sql_type == "boolean":
+        return f"CASE {text} WHEN '1' THEN true WHEN '0' THEN false END"
+    cast = f"try_cast({text} AS {sql_type})"
+    if sql_type in FORMS:
+        return f"CASE WHEN {text} RLIKE r'{FORMS[sql_type]}' THEN {cast} END"
+    return cast
 
 
-def decimal_value(unscaled: Column, precision: int, scale: int) -> Column:
-    """An unscaled whole number and a scale, as a decimal; null where it does not fit."""
-    shifted = unscaled.try_cast(f"decimal({38 - scale},0)") * F.lit("1e-%d" % scale).cast(f"decimal(38,{scale})")
-    return shifted.try_cast(f"decimal({precision},{scale})")
+def uuid_value(text: str) -> str:
+    return f"CASE WHEN {text} RLIKE r'{UUID_FORM}' THEN lower({text}) END"
 
 
-def typed_value(text: Column, sql_type: str) -> Column:
-    """The cast for a table type."""
-    if sql_type == "string":
-        return text_value(text)
-    if sql_type in ("int", "bigint"):
-        return integer_value(text, sql_type)
-    if sql_type == "boolean":
-        return boolean_value(text)
-    if sql_type == "timestamp_ntz":
-        return timestamp_value(text)
-    if sql_type == "date":
-        return date_value(text)
-    return number_value(text, sql_type)
+def decimal_value(unscaled: str, precision: int, scale: int) -> str:
+    """A whole number of the smallest unit as a decimal, e.g. cents; null where it does not fit."""
+    unit = f"CAST('1e-{scale}' AS DECIMAL({scale + 1},{scale}))"
+    return f"try_cast(try_cast({unscaled} AS DECIMAL({37 - scale},0)) * {unit} AS DECIMAL({precision},{scale}))"

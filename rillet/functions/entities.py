@@ -6,9 +6,8 @@ from pyspark.sql import Column, functions as F
 
 from rillet.constants import CONTEXTS_PREFIX, UNSTRUCT_PREFIX
 
-_PART = "[a-zA-Z0-9-_.]+"
 _NUMBER = "(?:0|[1-9][0-9]*)"
-SCHEMA_KEY = rf"\A[a-z]+:({_PART})/([a-zA-Z0-9-_]+)/([a-zA-Z0-9-_]+)/({_NUMBER})-({_NUMBER})-({_NUMBER})\z"
+SCHEMA_KEY = rf"\A[a-z]+:[a-zA-Z0-9-_.]+/[a-zA-Z0-9-_]+/[a-zA-Z0-9-_]+/{_NUMBER}-{_NUMBER}-{_NUMBER}\z"
 
 
 def is_schema_key(key: Column) -> Column:
@@ -23,14 +22,17 @@ def schema_version(key: Column) -> Column:
 def entity_column_name(key: Column, prefix: str) -> Column:
     """Column for an entity type: prefix, vendor, snake-case name and model number, lower case.
 
-    Null where the key is not a schema key.
+    Null where the key is not a schema key.  One regular expression per key in the common case;
+    a second one only for names with capitals.
     """
-    vendor = F.translate(F.regexp_extract(key, SCHEMA_KEY, 1), ".-", "__")
-    name = F.translate(F.regexp_extract(key, SCHEMA_KEY, 2), ".-", "__")
-    snake = F.regexp_replace(name, "([^A-Z_])([A-Z])", "$1_$2")
-    model = F.regexp_extract(key, SCHEMA_KEY, 4)
+    vendor = F.substring_index(F.substring_index(key, "/", 1), ":", -1)
+    name = F.substring_index(F.substring_index(key, "/", 2), "/", -1)
+    model = F.substring_index(schema_version(key), "-", 1)
+    # Lower case puts no underscore into a name without capitals, so most names skip the pattern.
+    snake = F.when(name.rlike("[A-Z]"), F.regexp_replace(name, "([^A-Z_.-])([A-Z])", "$1_$2")).otherwise(name)
     return F.when(
-        is_schema_key(key), F.concat(F.lit(prefix), F.lower(F.concat_ws("_", vendor, snake, model)))
+        is_schema_key(key),
+        F.concat(F.lit(prefix), F.translate(F.lower(F.concat_ws("_", vendor, snake, model)), ".-", "__")),
     )
 
 

@@ -27,8 +27,8 @@ _NUMBER = r"-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?"
 _TOKENS = rf'(?s){_STRING}|{_NUMBER}|[^"0-9-]++|.'
 # A number with a fraction or an exponent, where a JSON value may stand.
 _NOT_PLAIN = r"(?:\A|[\[:,\s])-?[0-9]++(?:\.|[eE])"
-# Exponents beyond this many digits are left as they are: the plain form would not fit a row.
-_MAX_EXPONENT_DIGITS = 4
+# Longer exponents are left as they are: the plain form would not fit a row.
+_MAX_EXPONENT_LENGTH = 5
 
 
 def drop_null_members(json: Column) -> Column:
@@ -36,29 +36,54 @@ def drop_null_members(json: Column) -> Column:
     return F.when(F.contains(json, F.lit("null")), F.regexp_replace(json, _NULL_MEMBERS, "$1")).otherwise(json)
 
 
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it.
+
+    Keeps nested rewrites linear in size: Spark would copy the expression to each mention.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def plain_number(token: Column) -> Column:
     """A JSON number without exponent and without trailing fraction zeros, exact to the digit."""
 
     def part(group: int) -> Column:
         return F.regexp_extract(token, r"\A(-?)([0-9]+)(?:\.([0-9]+))?(?:[eE]([+-]?[0-9]+))?\z", group)
 
-    exponent_text = part(4)
-    exponent = F.when(exponent_text == "", F.lit(0)).otherwise(exponent_text.try_cast("int"))
-    whole, fraction = part(2), part(3)
-    digits = F.concat(whole, fraction)
-    # Where the decimal point goes, counted from the left end of the digits.
-    point = F.length(whole) + exponent
-    padded = F.concat(F.repeat(F.lit("0"), -point), digits, F.repeat(F.lit("0"), point - F.length(digits)))
-    left_length = F.greatest(point, F.lit(0))
-    left = F.ltrim(F.substring(padded, F.lit(1), left_length), F.lit("0"))
-    right = F.rtrim(F.substring(padded, left_length + 1, F.length(padded)), F.lit("0"))
-    magnitude = F.concat(
-        F.when(left == "", F.lit("0")).otherwise(left),
-        F.when(right == "", F.lit("")).otherwise(F.concat(F.lit("."), right)),
+    def place_point(p: Column) -> Column:
+        """Digits and the place of the decimal point, counted from their left end."""
+        return F.struct(
+            F.concat(p["whole"], p["fraction"]).alias("digits"),
+            (F.length(p["whole"]) + F.coalesce(p["exponent"].try_cast("int"), F.lit(0))).alias("point"),
+        )
+
+    def pad(d: Column) -> Column:
+        padded = F.concat(
+            F.repeat(F.lit("0"), -d["point"]),
+            d["digits"],
+            F.repeat(F.lit("0"), d["point"] - F.length(d["digits"])),
+        )
+        return F.struct(padded.alias("digits"), F.greatest(d["point"], F.lit(0)).alias("point"))
+
+    def strip(d: Column) -> Column:
+        whole = F.ltrim(F.substring(d["digits"], F.lit(1), d["point"]), F.lit("0"))
+        fraction = F.rtrim(F.substr(d["digits"], d["point"] + 1), F.lit("0"))
+        return F.struct(whole.alias("whole"), fraction.alias("fraction"))
+
+    def write(n: Column) -> Column:
+        point = F.when(n["fraction"] == "", F.lit("")).otherwise(F.lit("."))
+        return F.concat(F.when(n["whole"] == "", F.lit("0")).otherwise(n["whole"]), point, n["fraction"])
+
+    parts = F.struct(
+        part(1).alias("sign"), part(2).alias("whole"), part(3).alias("fraction"), part(4).alias("exponent")
     )
-    signed = F.concat(F.when(magnitude == "0", F.lit("")).otherwise(part(1)), magnitude)
-    too_far = F.length(F.ltrim(F.translate(exponent_text, "+-", ""), F.lit("0"))) > _MAX_EXPONENT_DIGITS
-    return F.when(too_far, token).otherwise(signed)
+
+    def rewrite(p: Column) -> Column:
+        magnitude = bind(bind(bind(bind(p, place_point), pad), strip), write)
+        signed = bind(magnitude, lambda m: F.when(m == "0", m).otherwise(F.concat(p["sign"], m)))
+        return F.when(F.length(p["exponent"]) > _MAX_EXPONENT_LENGTH, token).otherwise(signed)
+
+    return bind(parts, rewrite)
 
 
 def plain_numbers(json: Column) -> Column:
@@ -72,7 +97,7 @@ def plain_numbers(json: Column) -> Column:
 
 def canonical_json(json: Column) -> Column:
     """Both rules together."""
-    return plain_numbers(drop_null_members(json))
+    return bind(drop_null_members(json), plain_numbers)
 
 
 def is_json_object(json: Column) -> Column:
@@ -81,7 +106,11 @@ def is_json_object(json: Column) -> Column:
 
 def with_member(json_object: Column, key: str, value: Column) -> Column:
     """Put a string member at the front of a JSON object text."""
-    body = F.ltrim(json_object, F.lit(" \t\r\n"))
-    rest = F.ltrim(F.substr(body, F.lit(2)), F.lit(" \t\r\n"))
-    comma = F.when(F.startswith(rest, F.lit("}")), F.lit("")).otherwise(F.lit(","))
-    return F.concat(F.lit('{"%s":"' % key), value, F.lit('"'), comma, rest)
+    blanks = F.lit(" \t\r\n")
+    inner = F.ltrim(F.substr(F.ltrim(json_object, blanks), F.lit(2)), blanks)
+
+    def join(rest: Column) -> Column:
+        comma = F.when(F.startswith(rest, F.lit("}")), F.lit('"')).otherwise(F.lit('",'))
+        return F.concat(F.lit('{"%s":"' % key), value, comma, rest)
+
+    return bind(inner, join)

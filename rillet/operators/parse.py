@@ -1,52 +1,48 @@
 """Lines of text to typed events."""
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rillet.constants import JSON_FIELDS, LINE_FIELD_COUNT, NOT_NULL_COLUMNS
 from rillet.functions.casts import typed_value, uuid_value
 from rillet.schema import ATOMIC_FIELDS, LINE_POSITIONS
-
-# The data of an entity stays text here: it is cleaned and parsed only when it is kept.
-_ENTITY = "struct<schema:string,data:string>"
-_CONTEXTS = f"struct<data:array<{_ENTITY}>>"
-_UNSTRUCT = f"struct<data:{_ENTITY}>"
+from rillet.session import evaluate_once
 
 #: Columns `parse_lines` adds besides the atomic ones.
 EVENT_ENTITY, CONTEXT_ENTITIES = "event_entity", "context_entities"
 PARSE_OK, PARSE_ERROR = "parse_ok", "parse_error"
 
-
-def _field(name: str) -> Column:
-    return F.get("fields", F.lit(LINE_POSITIONS[name]))
-
-
-def _atomic_value(name: str, sql_type: str) -> Column:
-    return uuid_value(_field(name)) if name == "event_id" else typed_value(_field(name), sql_type)
+# The data of an entity stays text here: it is cleaned and parsed only when it is kept.
+_ENTITY = "struct<schema:string,data:string>"
+_JSON_FORMS = {
+    "contexts": f"struct<data:array<{_ENTITY}>>",
+    "unstruct_event": f"struct<data:{_ENTITY}>",
+    "derived_contexts": f"struct<data:array<{_ENTITY}>>",
+}
 
 
-def _json_value(name: str, form: str) -> Column:
-    text = _field(name)
-    return F.when(text != "", F.from_json(text, form)["data"])
+def _text(name: str) -> str:
+    """SQL for the text of a field: null where it is empty or where the line has no such field."""
+    return f"get(fields, {LINE_POSITIONS[name]})"
 
 
-def _field_errors():
-    """(failed, error struct) for each field that can fail."""
+def _typed_columns():
+    for name, sql_type in ATOMIC_FIELDS:
+        value = uuid_value(_text(name)) if name == "event_id" else typed_value(_text(name), sql_type)
+        yield f"{value} AS {name}"
+    for name in JSON_FIELDS:
+        yield f"from_json({_text(name)}, '{_JSON_FORMS[name]}').data AS {name}"
 
-    def error(name, message):
-        return F.struct(F.lit(name).alias("field"), _field(name).alias("value"), F.lit(message).alias("message"))
 
+def _checks():
+    """(field, message, SQL that is true when the check fails) for every check of a line."""
+    for name in NOT_NULL_COLUMNS:
+        yield name, "must not be empty", f"{_text(name)} IS NULL"
     for name, sql_type in ATOMIC_FIELDS:
-        if name in NOT_NULL_COLUMNS:
-            yield _field(name) == "", error(name, "must not be empty")
-        if name == "event_id":
-            yield (_field(name) != "") & F.col(name).isNull(), error(name, "is not a UUID")
-        elif sql_type != "string":
-            yield (_field(name) != "") & F.col(name).isNull(), error(name, f"is not a valid {sql_type}")
+        if sql_type != "string" or name == "event_id":
+            message = "is not a UUID" if name == "event_id" else f"is not a valid {sql_type}"
+            yield name, message, f"{_text(name)} IS NOT NULL AND {name} IS NULL"
     for name in JSON_FIELDS:
-        yield (_field(name) != "") & F.col(name).isNull(), error(name, "is not valid self-describing JSON")
+        yield name, "is not valid self-describing JSON", f"{_text(name)} IS NOT NULL AND {name} IS NULL"
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
@@ -56,48 +52,43 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     event), ``context_entities`` (the same for all contexts), ``parse_ok`` and, for a line that
     cannot be parsed, ``parse_error`` with the reason.  No shuffle, no Python.
     """
-    text = F.col("value").cast("string")
-    split = lines.withColumn("fields", F.split(text, "\t", -1))
-    typed = split.select(
-        *split.columns,
-        *[_atomic_value(name, sql_type).alias(name) for name, sql_type in ATOMIC_FIELDS],
-        _json_value("contexts", _CONTEXTS).alias("contexts"),
-        _json_value("unstruct_event", _UNSTRUCT).alias("unstruct_event"),
-        _json_value("derived_contexts", _CONTEXTS).alias("derived_contexts"),
-    )
-    errors = list(_field_errors())
-    right_count = F.size("fields") == LINE_FIELD_COUNT
-    any_failed = F.coalesce(reduce(or_, (failed for failed, _ in errors)), F.lit(True))
-    field_errors = F.array_compact(F.array(*[F.when(failed, error) for failed, error in errors]))
-    parse_error = F.when(
-        ~right_count,
-        F.struct(
-            F.when(F.size("fields") == 1, F.lit("NotTSV")).otherwise(F.lit("FieldNumberMismatch")).alias("type"),
-            F.size("fields").alias("field_count"),
-            F.lit(None).cast("array<struct<field:string,value:string,message:string>>").alias("fields"),
-        ),
-    ).when(
-        any_failed,
-        F.struct(
-            F.lit("RowDecodingError").alias("type"),
-            F.size("fields").alias("field_count"),
-            field_errors.alias("fields"),
-        ),
-    )
-    no_entities = F.lit(None).cast(f"array<{_ENTITY}>")
-    contexts = F.concat(
-        F.coalesce("contexts", F.array().cast(f"array<{_ENTITY}>")),
-        F.coalesce("derived_contexts", F.array().cast(f"array<{_ENTITY}>")),
+    checks = list(_checks())
+    literals = {
+        "names": ", ".join(f"'{name}'" for name, _, _ in checks),
+        "messages": ", ".join(f"'{message}'" for _, message, _ in checks),
+        "positions": ", ".join(str(LINE_POSITIONS[name]) for name, _, _ in checks),
+        "numbers": ", ".join(str(number) for number in range(len(checks))),
+    }
+    field_errors = """transform(
+        filter(array({numbers}), n -> get(failed, n)),
+        n -> struct(
+            get(array({names}), n) AS field,
+            coalesce(get(fields, get(array({positions}), n)), '') AS value,
+            get(array({messages}), n) AS message))""".format(**literals)
+    parse_error = f"""CASE
+        WHEN size(fields) <> {LINE_FIELD_COUNT} THEN struct(
+            CASE WHEN size(fields) = 1 THEN 'NotTSV' ELSE 'FieldNumberMismatch' END AS type,
+            size(fields) AS field_count,
+            CAST(NULL AS array<struct<field:string,value:string,message:string>>) AS fields)
+        WHEN array_contains(failed, true) THEN struct(
+            'RowDecodingError' AS type, size(fields) AS field_count, {field_errors} AS fields) END"""
+    empty = f"CAST(array() AS array<{_ENTITY}>)"
+    contexts = f"""CASE WHEN contexts IS NOT NULL OR derived_contexts IS NOT NULL
+        THEN concat(coalesce(contexts, {empty}), coalesce(derived_contexts, {empty})) END"""
+    parse_ok = F.expr(f"size(fields) = {LINE_FIELD_COUNT} AND NOT array_contains(failed, true)")
+
+    split = lines.withColumn(
+        "fields", F.expr(r"transform(split(CAST(value AS STRING), '\t', -1), x -> CASE WHEN x <> '' THEN x END)")
     )
-    return typed.select(
+    typed = split.selectExpr("*", *_typed_columns())
+    checked = typed.selectExpr("*", f"array({', '.join(failed for _, _, failed in checks)}) AS failed")
+    return checked.select(
         *lines.columns,
         *[name for name, _ in ATOMIC_FIELDS],
         F.col("unstruct_event").alias(EVENT_ENTITY),
-        F.when(F.col("contexts").isNotNull() | F.col("derived_contexts").isNotNull(), contexts)
-        .otherwise(no_entities)
-        .alias(CONTEXT_ENTITIES),
-        (right_count & ~any_failed).alias(PARSE_OK),
-        parse_error.alias(PARSE_ERROR),
+        F.expr(contexts).alias(CONTEXT_ENTITIES),
+        evaluate_once(parse_ok).alias(PARSE_OK),
+        F.expr(parse_error).alias(PARSE_ERROR),
     )
 
 

@@ -13,9 +13,11 @@ from rillet.functions.entities import (
 from rillet.functions.jsons import canonical_json, is_json_object, with_member
 from rillet.operators.parse import CONTEXT_ENTITIES, EVENT_ENTITY, PARSE_OK
 from rillet.schema import ATOMIC_NAMES
+from rillet.session import evaluate_once
 
 #: Columns `transform_events` adds besides the load timestamp.
-UNSTRUCT_NAME, UNSTRUCT_VALUE, CONTEXTS = "unstruct_name", "unstruct_value", "contexts"
+UNSTRUCT_NAME, UNSTRUCT_VALUE = "unstruct_name", "unstruct_value"
+CONTEXT_NAMES, CONTEXTS = "context_names", "contexts"
 TRANSFORM_OK, TRANSFORM_ERROR = "transform_ok", "transform_error"
 
 
@@ -31,10 +33,8 @@ def skip_schemas(parsed: DataFrame, criteria) -> DataFrame:
     )
 
 
-def _entity_problem(entity: Column) -> Column:
-    return F.when(~is_schema_key(entity["schema"]), F.lit("not a schema key")).when(
-        ~F.coalesce(is_json_object(entity["data"]), F.lit(False)), F.lit("entity data is not an object")
-    )
+def _is_object(entity: Column) -> Column:
+    return F.coalesce(is_json_object(entity["data"]), F.lit(False))
 
 
 def _entity_value(entity: Column, with_schema_version: bool) -> Column:
@@ -51,68 +51,68 @@ def transform_events(
 
     Adds ``load_tstamp`` (one value for all rows), ``unstruct_name`` and ``unstruct_value`` (column
     and object of the self-describing event), ``contexts`` (map from column to array of objects),
-    ``transform_ok`` and ``transform_error`` (reason and schema of the first unusable entity).
-    Lines that were not parsed pass through with null entities and ``transform_ok`` false.
+    ``context_names`` (the keys of that map), ``transform_ok`` and ``transform_error`` (reason and
+    schema of an unusable entity).  Lines that were not parsed pass through with null entities and
+    ``transform_ok`` false.
+
+    The contexts of an event are grouped inside its row: no explode, no shuffle.
     """
-    kept = skip_schemas(parsed, skip)
-    first_bad_context = F.try_element_at(
-        F.filter(CONTEXT_ENTITIES, lambda e: _entity_problem(e).isNotNull()), F.lit(1)
-    )
     event_entity = F.col(EVENT_ENTITY)
-    bad_entity = F.coalesce(F.when(_entity_problem(event_entity).isNotNull(), event_entity), first_bad_context)
-    checked = kept.withColumn("bad_entity", F.when(F.col(PARSE_OK) & _has_entities(), bad_entity))
-    ok = F.col(PARSE_OK) & F.col("bad_entity").isNull()
-    named = F.transform(
-        CONTEXT_ENTITIES,
-        lambda e: F.struct(
-            contexts_column_name(e["schema"]).alias("name"),
-            _entity_value(e, with_schema_version).alias("value"),
-        ),
+    named = skip_schemas(parsed, skip).withColumns(
+        {
+            "event_column": unstruct_column_name(event_entity["schema"]),
+            "context_columns": F.transform(CONTEXT_ENTITIES, lambda e: contexts_column_name(e["schema"])),
+        }
     )
-    grouped = F.transform(
-        F.array_distinct(F.transform("named", lambda n: n["name"])),
-        lambda name: F.struct(
-            name.alias("key"),
-            F.transform(F.filter("named", lambda n: n["name"] == name), lambda n: n["value"]).alias("value"),
-        ),
+    bad_event = event_entity.isNotNull() & (F.col("event_column").isNull() | ~_is_object(event_entity))
+    bad_contexts = F.exists("context_columns", lambda name: name.isNull()) | F.exists(
+        CONTEXT_ENTITIES, lambda e: ~_is_object(e)
     )
-    return (
-        checked.withColumns(
-            {
-                TRANSFORM_OK: ok,
-                TRANSFORM_ERROR: F.when(
-                    F.col("bad_entity").isNotNull(),
-                    F.struct(
-                        _entity_problem(F.col("bad_entity")).alias("message"),
-                        F.col("bad_entity")["schema"].alias("schema"),
-                    ),
-                ),
-                UNSTRUCT_NAME: F.when(ok, unstruct_column_name(event_entity["schema"])),
-                UNSTRUCT_VALUE: F.when(ok, _entity_value(event_entity, False)),
-                "named": F.when(ok, named),
-            }
-        )
-        .withColumns(
-            {
-                CONTEXTS: F.map_from_entries(grouped),
-                LOAD_COLUMN: F.lit(load_tstamp).cast("timestamp_ntz"),
-            }
-        )
-        .drop("named", "bad_entity", EVENT_ENTITY, CONTEXT_ENTITIES)
+    checked = named.withColumn(
+        TRANSFORM_OK, evaluate_once(F.col(PARSE_OK) & ~bad_event & ~F.coalesce(bad_contexts, F.lit(False)))
     )
 
-
-def _has_entities() -> Column:
-    return F.col(EVENT_ENTITY).isNotNull() | F.col(CONTEXT_ENTITIES).isNotNull()
+    ok = F.col(TRANSFORM_OK)
+    entities = F.array_append(F.coalesce(CONTEXT_ENTITIES, F.array()), event_entity)
+    bad_entity = F.try_element_at(
+        F.filter(entities, lambda e: e.isNotNull() & ~(is_schema_key(e["schema"]) & _is_object(e))), F.lit(1)
+    )
+    error = F.struct(
+        F.when(is_schema_key(bad_entity["schema"]), F.lit("entity data is not an object"))
+        .otherwise(F.lit("not a schema key"))
+        .alias("message"),
+        bad_entity["schema"].alias("schema"),
+    )
+    pairs = F.arrays_zip(
+        F.col("context_columns").alias("name"),
+        F.transform(CONTEXT_ENTITIES, lambda e: _entity_value(e, with_schema_version)).alias("value"),
+    )
+    valued = checked.withColumns(
+        {
+            TRANSFORM_ERROR: F.when(F.col(PARSE_OK) & ~ok, error),
+            UNSTRUCT_NAME: F.when(ok, F.col("event_column")),
+            UNSTRUCT_VALUE: F.when(ok, _entity_value(event_entity, False)),
+            CONTEXT_NAMES: F.when(ok, F.array_distinct("context_columns")),
+            "pairs": F.when(ok, pairs),
+            LOAD_COLUMN: F.lit(load_tstamp).cast("timestamp_ntz"),
+        }
+    )
+    groups = F.transform(
+        CONTEXT_NAMES,
+        lambda name: F.transform(F.filter("pairs", lambda p: p["name"] == name), lambda p: p["value"]),
+    )
+    return valued.withColumn(CONTEXTS, F.map_from_arrays(CONTEXT_NAMES, groups)).drop(
+        "event_column", "context_columns", "pairs", EVENT_ENTITY, CONTEXT_ENTITIES
+    )
 
 
 def entity_columns(rows: DataFrame) -> DataFrame:
     """The distinct entity columns the rows need: one small shuffle of names."""
-    names = F.concat(
-        F.coalesce(F.map_keys(CONTEXTS), F.array().cast("array<string>")),
-        F.array_compact(F.array(UNSTRUCT_NAME)),
-    )
-    return rows.select(F.explode(names).alias("name")).distinct()
+    no_names = F.array().cast("array<string>")
+    names = F.array_append(F.coalesce(CONTEXT_NAMES, no_names), F.col(UNSTRUCT_NAME))
+    # The outer form: for the inner one Spark adds a filter that computes the names a second time.
+    exploded = rows.select(F.explode_outer(names).alias("name"))
+    return exploded.distinct().filter(F.col("name").isNotNull())
 
 
 def wide_rows(rows: DataFrame, names) -> DataFrame:
