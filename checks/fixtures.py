@@ -12,15 +12,25 @@ its line:
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rillet.sources.lines import read_lines
+
 SPARK = {
     "millis": "date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSS')",
     "tab": "'\\t'",
     "text": "string",
+    "newline": "'\\n'",
+    "open": "array(",
+    "close": ")",
+    "empty": "CAST(array() AS array<string>)",
 }
 DUCKDB = {
     "millis": "strftime(ts, '%Y-%m-%d %H:%M:%S.%g')",
     "tab": "chr(9)",
     "text": "varchar",
+    "newline": "chr(10)",
+    "open": "[",
+    "close": "]",
+    "empty": "CAST([] AS VARCHAR[])",
 }
 
 K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT)"
@@ -70,13 +80,93 @@ def line_sql(d: dict, fields: dict | None = None) -> str:
     return f"CASE WHEN {K} = 97 THEN concat('nonsense', CAST(event_id AS {d['text']})) ELSE concat({', '.join(parts)}) END"
 
 
-def lines_sql(d: dict) -> str:
-    """All events as lines: src_id, src_partition, src_ts, value."""
-    return f"SELECT {', '.join(_line_columns(d))} FROM events"
+def _line_columns(d: dict) -> dict[str, str]:
+    return {"src_id": "event_id", "src_partition": "user_id % 8", "src_ts": "ts", "value": line_sql(d)}
+
+
+# Outcomes that a table writer reports for the events of type "error" (none for the others).
+_FAILURES = {
+    "batch_id": "user_id % 8",
+    "row_index": "event_id",
+    "extra_cols": f"""CASE WHEN {K} < 20 THEN {{open}}'unstruct_event_xyz_1'{{close}}
+        WHEN {K} < 35 THEN {{open}}'contexts_abc_2', 'unstruct_event_xyz_1'{{close}}
+        WHEN {K} < 40 THEN {{open}}'geo_city'{{close}} WHEN {K} < 45 THEN {{open}}'other_col'{{close}} ELSE {{empty}} END""",
+    "error_code": f"""CASE {K} % 7 WHEN 0 THEN 'INVALID_FORMAT_ROW' WHEN 1 THEN 'INVALID_VALUE_ROW' WHEN 2 THEN 'NULL_VALUE'
+        WHEN 3 THEN 'NULL_OR_EMPTY_STRING' WHEN 4 THEN 'MAX_ROW_SIZE_EXCEEDED' WHEN 5 THEN 'UNKNOWN_DATA_TYPE'
+        ELSE 'INTERNAL_ERROR' END""",
+    "message": "concat('cause ', CAST(event_id AS {text}))",
+}
+
+# Errors of the target: an HTTP answer, a refused login, a SQL error or something else.
+_ERRORS = {
+    "err_id": "event_id",
+    "kind": """CASE event_type WHEN 'click' THEN 'ingest' WHEN 'signup' THEN 'ingest' WHEN 'view' THEN 'security'
+        WHEN 'purchase' THEN 'sql' ELSE 'other' END""",
+    "code": f"""CASE event_type WHEN 'click' THEN 395 + {K} WHEN 'signup' THEN CASE WHEN {K} < 50 THEN 513 ELSE 404 END
+        WHEN 'purchase' THEN CASE {K} % 5 WHEN 0 THEN 2003 WHEN 1 THEN 2043 WHEN 2 THEN 3001 WHEN 3 THEN 3041 ELSE 1430 END
+        ELSE {K} END""",
+    "body_message": f"CASE WHEN event_type = 'click' AND {K} % 2 = 0 THEN concat('body ', CAST(event_id AS {{text}})) END",
+    "raw": f"""CASE WHEN {K} % 5 = 0 THEN concat('{{{{"message" : "quoted ', CAST(event_id AS {{text}}), '"}}}}')
+        WHEN {K} % 5 = 1 THEN concat('ERR_TABLE_TYPE_NOT_SUPPORTED ', CAST(event_id AS {{text}}))
+        WHEN {K} % 5 = 2 THEN concat('SQL compilation error:', {{newline}}, 'object ', CAST(event_id AS {{text}}), ' is unknown')
+        WHEN {K} % 5 = 3 THEN concat('line one:  ', {{newline}}, 'message "" ', CAST(event_id AS {{text}}))
+        ELSE concat('{{{{"message":""}}}}', CAST(event_id AS {{text}})) END""",
+}
+
+# What a batch reports: one row per event, for the metrics of a period.
+_METRICS = {
+    "t": "ts",
+    "good": "user_id",
+    "bad": f"CAST({K} AS BIGINT)",
+    "latency_ms": "CAST(floor(value * 2000) AS BIGINT)",
+    "e2e_latency_ms": f"CASE WHEN {K} < 90 THEN CAST(floor(value * 3000) AS BIGINT) END",
+}
+
+_ALERTS = {
+    "alert_id": "event_id",
+    "alert_type": f"""CASE {K} % 8 WHEN 0 THEN 'failed_to_connect' WHEN 1 THEN 'failed_to_show_tables'
+        WHEN 2 THEN 'failed_to_create_events_table' WHEN 3 THEN 'failed_to_add_columns' WHEN 4 THEN 'failed_to_open_channel'
+        WHEN 5 THEN 'failed_to_parse_private_key' WHEN 6 THEN 'table_is_missing_atomic_column' ELSE 'other' END""",
+    "db": "concat('db', CAST(user_id % 3 AS {text}))",
+    "schema": "event_type",
+    "columns": f"CASE WHEN {K} % 8 = 3 THEN {{open}}'contexts_a_1', concat('unstruct_event_', event_type, '_1'){{close}} ELSE {{open}}event_type{{close}} END",
+    "cause": "concat('cause ', CAST(event_id AS {text}))",
+}
+
+# JSON with null members and unusual numbers, and the canonical text expected of it.
+JSON_DOC = """concat('{"a":null,"id":', CAST(event_id AS @), ',"n":null,"deep":{"x":null,"y":[null,{"z":null,"w":', props,
+    '}],"only":{"gone":null}},"text":"say \\\\"null\\\\": null, 1e3","t":"', event_type, '","last":null}')"""
+JSON_DOC_EXPECTED = """concat('{"id":', CAST(event_id AS @), ',"deep":{"y":[null,{"w":', props,
+    '}],"only":{}},"text":"say \\\\"null\\\\": null, 1e3","t":"', event_type, '"}')"""
+NUMBER_DOC = """concat('{"whole":', CAST(event_id AS @), '.0,"thousand":', CAST(event_id + 1 AS @), 'e3,"cents":', CAST(event_id * 10 + 5 AS @),
+    'E-2,"long":12345678901234567890123456789012345678901,"tail":', CAST(event_id AS @), '.250,"neg":-', CAST(event_id + 1 AS @),
+    '.50e+1,"keep":"', CAST(event_id AS @), 'e3"}')"""
+NUMBER_DOC_EXPECTED = """concat('{"whole":', CAST(event_id AS @), ',"thousand":', CAST(event_id + 1 AS @), '000,"cents":',
+    CAST(CAST(event_id * 10 + 5 AS BIGINT) // 100 AS @), '.', CASE WHEN (event_id * 10 + 5) % 100 < 10 THEN '0' ELSE '' END,
+    CAST((event_id * 10 + 5) % 100 AS @), ',"long":12345678901234567890123456789012345678901,"tail":', CAST(event_id AS @),
+    '.25,"neg":-', CAST((event_id + 1) * 10 + 5 AS @), ',"keep":"', CAST(event_id AS @), 'e3"}')"""
+
+TABLES = {"failures": _FAILURES, "errors": _ERRORS, "metrics": _METRICS, "alerts": _ALERTS}
+_ONLY = {"failures": " WHERE event_type = 'error'"}
+
+
+def _columns(d: dict, name: str) -> list[str]:
+    if name == "lines":
+        return [f"{sql} AS {column}" for column, sql in _line_columns(d).items()]
+    words = {key: d[key] for key in ("open", "close", "empty", "text", "newline")}
+    return [f"{sql.format(**words)} AS {column}" for column, sql in TABLES[name].items()]
+
+
+def duckdb_table(name: str) -> str:
+    """The fixture as a DuckDB query over ``events``."""
+    return f"SELECT {', '.join(_columns(DUCKDB, name))} FROM events{_ONLY.get(name, '')}"
 
 
-def _line_columns(d: dict) -> list[str]:
-    return ["event_id AS src_id", "user_id % 8 AS src_partition", "ts AS src_ts", f"{line_sql(d)} AS value"]
+def spark_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    rows = events(spark, sf_dir)
+    if name in _ONLY:
+        rows = rows.filter(_ONLY[name].removeprefix(" WHERE "))
+    return rows.selectExpr(*_columns(SPARK, name))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,4 +174,5 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enriched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).selectExpr(*_line_columns(SPARK))
+    """All events as lines, read through the engine's own reader."""
+    return read_lines(spark, "parquet", {}, columns=_line_columns(SPARK), path=f"{sf_dir}/events.parquet")
