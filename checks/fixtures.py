@@ -12,7 +12,7 @@ its line:
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillet.sources.lines import read_lines
+from rillet.sources.lines import read_lines, spread
 
 SPARK = {
     "millis": "date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSS')",
@@ -34,6 +34,8 @@ DUCKDB = {
 }
 
 K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT)"
+# Page contexts of an event; events with two pages carry a session context as well.
+PAGES = "CASE event_type WHEN 'error' THEN 0 WHEN 'click' THEN 2 WHEN 'view' THEN 2 ELSE 1 END"
 NOW = "2024-12-31 00:00:00"
 CHUNK_RECORDS = 1000
 
@@ -56,14 +58,14 @@ def _fields(d: dict) -> dict:
         17: f"CASE WHEN {K} = 89 THEN 'abc' ELSE CAST(event_id % 20 AS {d['text']}) END",
         53: f"""CASE WHEN {K} = 83 THEN '{_CONTEXTS}{{'
                  WHEN {K} = 79 THEN '{_CONTEXTS}{{"schema":"no key","data":{{}}}}]}}'
-                 WHEN event_id % 3 = 1 THEN concat('{_CONTEXTS}{page}', CAST(event_id AS {d['text']}), ',"note":null}}}}]}}')
-                 WHEN event_id % 3 = 2 THEN concat('{_CONTEXTS}{page}', CAST(event_id AS {d['text']}), ',"note":null}}}},{page}',
+                 WHEN {PAGES} = 1 THEN concat('{_CONTEXTS}{page}', CAST(event_id AS {d['text']}), ',"note":null}}}}]}}')
+                 WHEN {PAGES} = 2 THEN concat('{_CONTEXTS}{page}', CAST(event_id AS {d['text']}), ',"note":null}}}},{page}',
                    CAST(event_id + 1 AS {d['text']}), ',"note":"n"}}}}]}}')
                  ELSE '' END""",
         59: f"""concat('{_UNSTRUCT}{{"schema":"x:com.acme/', event_type, '/jsonschema/', CAST(1 + event_id % 2 AS {d['text']}),
                  '-0-0","data":', props, '}}}}')""",
         62: f"CAST(value AS {d['text']})",
-        123: f"""CASE WHEN event_id % 3 = 2 THEN concat('{_CONTEXTS}{{"schema":"x:org.demo/session_ctx/jsonschema/2-0-1","data":{{"s":',
+        123: f"""CASE WHEN {PAGES} = 2 THEN concat('{_CONTEXTS}{{"schema":"x:org.demo/session_ctx/jsonschema/2-0-1","data":{{"s":',
                  CAST(user_id AS {d['text']}), '}}}}]}}') ELSE '' END""",
     }
 
@@ -170,7 +172,7 @@ def spark_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
 def enriched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

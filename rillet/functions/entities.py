@@ -1,47 +1,43 @@
-"""Schema keys of entities: ``<scheme>:<vendor>/<name>/<format>/<model>-<revision>-<addition>``."""
+"""Schema keys of entities: ``<scheme>:<vendor>/<name>/<format>/<model>-<revision>-<addition>``.
 
-import re
+The functions take and return SQL expressions.
+"""
 
-from pyspark.sql import Column, functions as F
+import re
 
 from rillet.constants import CONTEXTS_PREFIX, UNSTRUCT_PREFIX
 
 _NUMBER = "(?:0|[1-9][0-9]*)"
-SCHEMA_KEY = rf"\A[a-z]+:[a-zA-Z0-9-_.]+/[a-zA-Z0-9-_]+/[a-zA-Z0-9-_]+/{_NUMBER}-{_NUMBER}-{_NUMBER}\z"
+SCHEMA_KEY = rf"\A[a-z]+:[\w.-]+/[\w-]+/[\w-]+/{_NUMBER}-{_NUMBER}-{_NUMBER}\z"
 
 
-def is_schema_key(key: Column) -> Column:
-    return F.coalesce(key.rlike(SCHEMA_KEY), F.lit(False))
+def is_schema_key(key: str) -> str:
+    return f"coalesce({key} RLIKE r'{SCHEMA_KEY}', false)"
 
 
-def schema_version(key: Column) -> Column:
+def schema_version(key: str) -> str:
     """``model-revision-addition`` of a schema key."""
-    return F.substring_index(key, "/", -1)
+    return f"substring_index({key}, '/', -1)"
 
 
-def entity_column_name(key: Column, prefix: str) -> Column:
-    """Column for an entity type: prefix, vendor, snake-case name and model number, lower case.
-
-    Null where the key is not a schema key.  One regular expression per key in the common case;
-    a second one only for names with capitals.
-    """
-    vendor = F.substring_index(F.substring_index(key, "/", 1), ":", -1)
-    name = F.substring_index(F.substring_index(key, "/", 2), "/", -1)
-    model = F.substring_index(schema_version(key), "-", 1)
-    # Lower case puts no underscore into a name without capitals, so most names skip the pattern.
-    snake = F.when(name.rlike("[A-Z]"), F.regexp_replace(name, "([^A-Z_.-])([A-Z])", "$1_$2")).otherwise(name)
-    return F.when(
-        is_schema_key(key),
-        F.concat(F.lit(prefix), F.translate(F.lower(F.concat_ws("_", vendor, snake, model)), ".-", "__")),
-    )
+def column_of_valid_key(key: str, prefix: str) -> str:
+    """Column for an entity type: prefix, vendor, snake-case name and model number, lower case."""
+    vendor = f"substring_index(substring_index({key}, '/', 1), ':', -1)"
+    name = f"substring_index(substring_index({key}, '/', 2), '/', -1)"
+    snake = f"regexp_replace({name}, '([^A-Z_.-])([A-Z])', '$1_$2')"
+    model = f"substring_index({schema_version(key)}, '-', 1)"
+    column = f"lower(concat('{prefix}', {vendor}, '_', {snake}, '_', {model}))"
+    return f"replace(replace({column}, '.', '_'), '-', '_')"
 
 
-def unstruct_column_name(key: Column) -> Column:
-    return entity_column_name(key, UNSTRUCT_PREFIX)
+def unstruct_column_name(key: str) -> str:
+    """Column of a self-describing event; null where the key is not a schema key."""
+    return f"CASE WHEN {is_schema_key(key)} THEN {column_of_valid_key(key, UNSTRUCT_PREFIX)} END"
 
 
-def contexts_column_name(key: Column) -> Column:
-    return entity_column_name(key, CONTEXTS_PREFIX)
+def contexts_column_name(key: str) -> str:
+    """Column of a context; null where the key is not a schema key."""
+    return f"CASE WHEN {is_schema_key(key)} THEN {column_of_valid_key(key, CONTEXTS_PREFIX)} END"
 
 
 def skip_pattern(criteria) -> str | None:
@@ -59,8 +55,6 @@ def skip_pattern(criteria) -> str | None:
     return rf"\A(?:{'|'.join(alternatives)})\z" if alternatives else None
 
 
-def is_skipped(key: Column, criteria) -> Column:
+def is_skipped(key: str, criteria) -> str:
     pattern = skip_pattern(criteria)
-    if pattern is None:
-        return F.lit(False)
-    return F.coalesce(key.rlike(pattern), F.lit(False))
+    return f"coalesce({key} RLIKE r'{pattern}', false)" if pattern else "false"

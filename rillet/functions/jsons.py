@@ -1,5 +1,7 @@
 """JSON texts in the form in which they are stored: no null members, plain numbers.
 
+The functions take and return SQL expressions.
+
 The rules:
 
 * a member whose value is null is removed, at every depth; null elements of arrays stay;
@@ -10,9 +12,6 @@ The rules:
 Each rule is one pass of regular expressions that step over whole JSON strings, so text inside
 strings is never touched.  Both passes are skipped for texts that cannot need them.
 """
-
-from pyspark.sql import Column, functions as F
-
 # A JSON string. Possessive, so long strings need no backtracking and no stack.
 _STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 _NULL_MEMBER = rf"\s*+{_STRING}\s*+:\s*+null\s*+"
@@ -27,90 +26,66 @@ _NUMBER = r"-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?"
 _TOKENS = rf'(?s){_STRING}|{_NUMBER}|[^"0-9-]++|.'
 # A number with a fraction or an exponent, where a JSON value may stand.
 _NOT_PLAIN = r"(?:\A|[\[:,\s])-?[0-9]++(?:\.|[eE])"
+_NOT_PLAIN_NUMBER = r"\A-?[0-9]+[.eE]"
+_NUMBER_PARTS = r"\A(-?)([0-9]+)(?:\.([0-9]+))?(?:[eE]([+-]?[0-9]+))?\z"
+_BLANKS = r"' \t\r\n'"
 # Longer exponents are left as they are: the plain form would not fit a row.
 _MAX_EXPONENT_LENGTH = 5
 
 
-def drop_null_members(json: Column) -> Column:
-    """Remove null-valued object members at every depth."""
-    return F.when(F.contains(json, F.lit("null")), F.regexp_replace(json, _NULL_MEMBERS, "$1")).otherwise(json)
-
-
-def bind(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it.
+def bind(value: str, name: str, use: str) -> str:
+    """``use``, in which ``name`` stands for ``value``, which is computed once.
 
     Keeps nested rewrites linear in size: Spark would copy the expression to each mention.
     """
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
-def plain_number(token: Column) -> Column:
-    """A JSON number without exponent and without trailing fraction zeros, exact to the digit."""
+    return f"get(transform(array({value}), {name} -> {use}), 0)"
 
-    def part(group: int) -> Column:
-        return F.regexp_extract(token, r"\A(-?)([0-9]+)(?:\.([0-9]+))?(?:[eE]([+-]?[0-9]+))?\z", group)
 
-    def place_point(p: Column) -> Column:
-        """Digits and the place of the decimal point, counted from their left end."""
-        return F.struct(
-            F.concat(p["whole"], p["fraction"]).alias("digits"),
-            (F.length(p["whole"]) + F.coalesce(p["exponent"].try_cast("int"), F.lit(0))).alias("point"),
-        )
-
-    def pad(d: Column) -> Column:
-        padded = F.concat(
-            F.repeat(F.lit("0"), -d["point"]),
-            d["digits"],
-            F.repeat(F.lit("0"), d["point"] - F.length(d["digits"])),
-        )
-        return F.struct(padded.alias("digits"), F.greatest(d["point"], F.lit(0)).alias("point"))
-
-    def strip(d: Column) -> Column:
-        whole = F.ltrim(F.substring(d["digits"], F.lit(1), d["point"]), F.lit("0"))
-        fraction = F.rtrim(F.substr(d["digits"], d["point"] + 1), F.lit("0"))
-        return F.struct(whole.alias("whole"), fraction.alias("fraction"))
-
-    def write(n: Column) -> Column:
-        point = F.when(n["fraction"] == "", F.lit("")).otherwise(F.lit("."))
-        return F.concat(F.when(n["whole"] == "", F.lit("0")).otherwise(n["whole"]), point, n["fraction"])
-
-    parts = F.struct(
-        part(1).alias("sign"), part(2).alias("whole"), part(3).alias("fraction"), part(4).alias("exponent")
-    )
-
-    def rewrite(p: Column) -> Column:
-        magnitude = bind(bind(bind(bind(p, place_point), pad), strip), write)
-        signed = bind(magnitude, lambda m: F.when(m == "0", m).otherwise(F.concat(p["sign"], m)))
-        return F.when(F.length(p["exponent"]) > _MAX_EXPONENT_LENGTH, token).otherwise(signed)
+def drop_null_members(json: str) -> str:
+    """Remove null-valued object members at every depth."""
+    return f"CASE WHEN contains({json}, 'null') THEN regexp_replace({json}, r'{_NULL_MEMBERS}', '$1') ELSE {json} END"
 
-    return bind(parts, rewrite)
 
+def plain_number(token: str) -> str:
+    """A JSON number without exponent and without trailing fraction zeros, exact to the digit."""
 
-def plain_numbers(json: Column) -> Column:
+    def part(group: int) -> str:
+        return f"regexp_extract({token}, r'{_NUMBER_PARTS}', {group})"
+
+    parts = f"struct({part(1)} AS sign, {part(2)} AS whole, {part(3)} AS fraction, {part(4)} AS exponent)"
+    # The digits, and where the decimal point goes, counted from their left end.
+    placed = """struct(p.sign AS sign, concat(p.whole, p.fraction) AS digits,
+        length(p.whole) + coalesce(try_cast(p.exponent AS INT), 0) AS point)"""
+    padded = """struct(d.sign AS sign, greatest(d.point, 0) AS point,
+        concat(repeat('0', -d.point), d.digits, repeat('0', d.point - length(d.digits))) AS digits)"""
+    stripped = """struct(d.sign AS sign, ltrim('0', substring(d.digits, 1, d.point)) AS whole,
+        rtrim('0', substring(d.digits, d.point + 1)) AS fraction)"""
+    magnitude = """concat(CASE WHEN n.whole = '' THEN '0' ELSE n.whole END,
+        CASE WHEN n.fraction = '' THEN '' ELSE '.' END, n.fraction)"""
+    signed = f"CASE WHEN n.whole = '' AND n.fraction = '' THEN '0' ELSE concat(n.sign, {magnitude}) END"
+    written = bind(bind(bind(placed, "d", padded), "d", stripped), "n", signed)
+    return bind(parts, "p", f"CASE WHEN length(p.exponent) > {_MAX_EXPONENT_LENGTH} THEN {token} ELSE {written} END")
+
+
+def plain_numbers(json: str) -> str:
     """Write every number of a JSON text in plain form."""
-    tokens = F.regexp_extract_all(json, F.lit(_TOKENS), F.lit(0))
-    rewritten = F.transform(
-        tokens, lambda t: F.when(t.rlike(r"\A-?[0-9]+[.eE]"), plain_number(t)).otherwise(t)
-    )
-    return F.when(json.rlike(_NOT_PLAIN), F.array_join(rewritten, "")).otherwise(json)
+    token = f"CASE WHEN t RLIKE r'{_NOT_PLAIN_NUMBER}' THEN {plain_number('t')} ELSE t END"
+    rewritten = f"array_join(transform(regexp_extract_all({json}, r'{_TOKENS}', 0), t -> {token}), '')"
+    return f"CASE WHEN {json} RLIKE r'{_NOT_PLAIN}' THEN {rewritten} ELSE {json} END"
 
 
-def canonical_json(json: Column) -> Column:
+def canonical_json(json: str) -> str:
     """Both rules together."""
-    return bind(drop_null_members(json), plain_numbers)
+    return bind(drop_null_members(json), "j", plain_numbers("j"))
 
 
-def is_json_object(json: Column) -> Column:
-    return F.startswith(F.ltrim(json, F.lit(" \t\r\n")), F.lit("{"))
+def is_json_object(json: str) -> str:
+    """For a text that is known to be JSON."""
+    return f"coalesce(startswith(ltrim({_BLANKS}, {json}), '{{'), false)"
 
 
-def with_member(json_object: Column, key: str, value: Column) -> Column:
+def with_member(json_object: str, key: str, value: str) -> str:
     """Put a string member at the front of a JSON object text."""
-    blanks = F.lit(" \t\r\n")
-    inner = F.ltrim(F.substr(F.ltrim(json_object, blanks), F.lit(2)), blanks)
-
-    def join(rest: Column) -> Column:
-        comma = F.when(F.startswith(rest, F.lit("}")), F.lit('"')).otherwise(F.lit('",'))
-        return F.concat(F.lit('{"%s":"' % key), value, comma, rest)
-
-    return bind(inner, join)
+    inner = f"ltrim({_BLANKS}, substring(ltrim({_BLANKS}, {json_object}), 2))"
+    joined = f"""concat('{{"{key}":"', {value}, CASE WHEN startswith(inner, '}}') THEN '"' ELSE '",' END, inner)"""
+    return bind(inner, "inner", joined)

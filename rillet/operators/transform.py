@@ -2,14 +2,8 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rillet.constants import LOAD_COLUMN, SCHEMA_VERSION_KEY
-from rillet.functions.entities import (
-    contexts_column_name,
-    is_schema_key,
-    is_skipped,
-    schema_version,
-    unstruct_column_name,
-)
+from rillet.constants import CONTEXTS_PREFIX, LOAD_COLUMN, SCHEMA_VERSION_KEY, UNSTRUCT_PREFIX
+from rillet.functions.entities import column_of_valid_key, is_schema_key, is_skipped, schema_version
 from rillet.functions.jsons import canonical_json, is_json_object, with_member
 from rillet.operators.parse import CONTEXT_ENTITIES, EVENT_ENTITY, PARSE_OK
 from rillet.schema import ATOMIC_NAMES
@@ -25,23 +19,24 @@ def skip_schemas(parsed: DataFrame, criteria) -> DataFrame:
     """Leave out the entities whose schema matches one of the criteria; the events stay."""
     if not criteria:
         return parsed
+    event_skipped, context_skipped = is_skipped(f"{EVENT_ENTITY}.schema", criteria), is_skipped("e.schema", criteria)
     return parsed.withColumns(
         {
-            EVENT_ENTITY: F.when(~is_skipped(F.col(EVENT_ENTITY)["schema"], criteria), F.col(EVENT_ENTITY)),
-            CONTEXT_ENTITIES: F.filter(CONTEXT_ENTITIES, lambda e: ~is_skipped(e["schema"], criteria)),
+            EVENT_ENTITY: F.expr(f"CASE WHEN NOT {event_skipped} THEN {EVENT_ENTITY} END"),
+            CONTEXT_ENTITIES: F.expr(f"filter({CONTEXT_ENTITIES}, e -> NOT {context_skipped})"),
         }
     )
 
 
-def _is_object(entity: Column) -> Column:
-    return F.coalesce(is_json_object(entity["data"]), F.lit(False))
+def _usable(entity: str) -> str:
+    return f"({is_schema_key(entity + '.schema')} AND {is_json_object(entity + '.data')})"
 
 
-def _entity_value(entity: Column, with_schema_version: bool) -> Column:
-    json = canonical_json(entity["data"])
+def _value(entity: str, with_schema_version: bool) -> str:
+    json = canonical_json(f"{entity}.data")
     if with_schema_version:
-        json = with_member(json, SCHEMA_VERSION_KEY, schema_version(entity["schema"]))
-    return F.try_parse_json(json)
+        json = with_member(json, SCHEMA_VERSION_KEY, schema_version(f"{entity}.schema"))
+    return f"try_parse_json({json})"
 
 
 def transform_events(
@@ -57,52 +52,36 @@ def transform_events(
 
     The contexts of an event are grouped inside its row: no explode, no shuffle.
     """
-    event_entity = F.col(EVENT_ENTITY)
-    named = skip_schemas(parsed, skip).withColumns(
-        {
-            "event_column": unstruct_column_name(event_entity["schema"]),
-            "context_columns": F.transform(CONTEXT_ENTITIES, lambda e: contexts_column_name(e["schema"])),
-        }
-    )
-    bad_event = event_entity.isNotNull() & (F.col("event_column").isNull() | ~_is_object(event_entity))
-    bad_contexts = F.exists("context_columns", lambda name: name.isNull()) | F.exists(
-        CONTEXT_ENTITIES, lambda e: ~_is_object(e)
-    )
-    checked = named.withColumn(
-        TRANSFORM_OK, evaluate_once(F.col(PARSE_OK) & ~bad_event & ~F.coalesce(bad_contexts, F.lit(False)))
-    )
-
-    ok = F.col(TRANSFORM_OK)
-    entities = F.array_append(F.coalesce(CONTEXT_ENTITIES, F.array()), event_entity)
-    bad_entity = F.try_element_at(
-        F.filter(entities, lambda e: e.isNotNull() & ~(is_schema_key(e["schema"]) & _is_object(e))), F.lit(1)
-    )
-    error = F.struct(
-        F.when(is_schema_key(bad_entity["schema"]), F.lit("entity data is not an object"))
-        .otherwise(F.lit("not a schema key"))
-        .alias("message"),
-        bad_entity["schema"].alias("schema"),
-    )
-    pairs = F.arrays_zip(
-        F.col("context_columns").alias("name"),
-        F.transform(CONTEXT_ENTITIES, lambda e: _entity_value(e, with_schema_version)).alias("value"),
-    )
-    valued = checked.withColumns(
-        {
-            TRANSFORM_ERROR: F.when(F.col(PARSE_OK) & ~ok, error),
-            UNSTRUCT_NAME: F.when(ok, F.col("event_column")),
-            UNSTRUCT_VALUE: F.when(ok, _entity_value(event_entity, False)),
-            CONTEXT_NAMES: F.when(ok, F.array_distinct("context_columns")),
-            "pairs": F.when(ok, pairs),
-            LOAD_COLUMN: F.lit(load_tstamp).cast("timestamp_ntz"),
-        }
-    )
-    groups = F.transform(
-        CONTEXT_NAMES,
-        lambda name: F.transform(F.filter("pairs", lambda p: p["name"] == name), lambda p: p["value"]),
+    event, contexts = EVENT_ENTITY, CONTEXT_ENTITIES
+    all_usable = f"""{PARSE_OK} AND ({event} IS NULL OR {_usable(event)})
+        AND coalesce(forall({contexts}, e -> {_usable('e')}), true)"""
+    entities = f"array_append(coalesce({contexts}, array()), {event})"
+    unusable = f"get(filter({entities}, e -> e IS NOT NULL AND NOT {_usable('e')}), 0)"
+    error = f"""get(transform(array({unusable}), e -> struct(CASE WHEN {is_schema_key('e.schema')}
+        THEN 'entity data is not an object' ELSE 'not a schema key' END AS message, e.schema AS schema)), 0)"""
+    columns = f"transform({contexts}, e -> {column_of_valid_key('e.schema', CONTEXTS_PREFIX)})"
+    values = f"transform({contexts}, e -> {_value('e', with_schema_version)})"
+    # Most events carry one type of context, or each type once.
+    groups = f"""CASE
+        WHEN size({CONTEXT_NAMES}) = 1 THEN array(context_values)
+        WHEN size({CONTEXT_NAMES}) = size(context_values) THEN transform(context_values, v -> array(v))
+        ELSE transform({CONTEXT_NAMES}, c -> transform(
+            filter(arrays_zip(context_columns, context_values), z -> z.context_columns = c), z -> z.context_values)) END"""
+
+    checked = skip_schemas(parsed, skip).withColumn(TRANSFORM_OK, evaluate_once(F.expr(all_usable)))
+    kept = [name for name in checked.columns if name not in (event, contexts)]
+    valued = checked.selectExpr(
+        *kept,
+        f"CASE WHEN {PARSE_OK} AND NOT {TRANSFORM_OK} THEN {error} END AS {TRANSFORM_ERROR}",
+        f"CASE WHEN {TRANSFORM_OK} AND {event} IS NOT NULL THEN {column_of_valid_key(event + '.schema', UNSTRUCT_PREFIX)} END AS {UNSTRUCT_NAME}",
+        f"CASE WHEN {TRANSFORM_OK} THEN {_value(event, False)} END AS {UNSTRUCT_VALUE}",
+        f"CASE WHEN {TRANSFORM_OK} THEN {columns} END AS context_columns",
+        f"CASE WHEN {TRANSFORM_OK} THEN {values} END AS context_values",
+        f"CAST('{load_tstamp}' AS TIMESTAMP_NTZ) AS {LOAD_COLUMN}",
     )
-    return valued.withColumn(CONTEXTS, F.map_from_arrays(CONTEXT_NAMES, groups)).drop(
-        "event_column", "context_columns", "pairs", EVENT_ENTITY, CONTEXT_ENTITIES
+    named = valued.withColumn(CONTEXT_NAMES, F.array_distinct("context_columns"))
+    return named.withColumn(CONTEXTS, F.expr(f"map_from_arrays({CONTEXT_NAMES}, {groups})")).drop(
+        "context_columns", "context_values"
     )
 
 

@@ -8,6 +8,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from rillet.constants import DEFAULT_CPU_FACTOR
+from rillet.operators.metrics import parallelism
+
 LINE_COLUMNS = ("src_partition", "src_id", "src_ts", "value")
 
 #: Where each kind of source keeps the line columns.
@@ -52,11 +55,22 @@ def read_lines(
     if schema is not None:
         reader = reader.schema(schema)
     records = reader.load(path) if path else reader.load()
+    if not streaming:
+        records = spread(records)
     if columns is None:
         columns = {"text": FILE_COLUMNS, "kafka": KAFKA_COLUMNS}.get(format, {name: name for name in LINE_COLUMNS})
     return normalise(records, columns)
 
 
+def spread(records: DataFrame, factor: str = DEFAULT_CPU_FACTOR) -> DataFrame:
+    """Spread a source with few partitions over the cores, since parsing costs more than moving.
+
+    Large sources have more partitions than that and stay as they are.
+    """
+    wanted = parallelism(records.sparkSession.sparkContext.defaultParallelism, factor)
+    return records if records.rdd.getNumPartitions() >= wanted else records.repartition(wanted)
+
+
 def since(lines: DataFrame, timestamp: Column) -> DataFrame:
     """Lines the source got at or after a time; the filter reaches the scan of a stored table."""
     return lines.filter(F.col("src_ts") >= timestamp)
