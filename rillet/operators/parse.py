@@ -75,20 +75,20 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     empty = f"CAST(array() AS array<{_ENTITY}>)"
     contexts = f"""CASE WHEN contexts IS NOT NULL OR derived_contexts IS NOT NULL
         THEN concat(coalesce(contexts, {empty}), coalesce(derived_contexts, {empty})) END"""
-    parse_ok = F.expr(f"size(fields) = {LINE_FIELD_COUNT} AND NOT array_contains(failed, true)")
+    parse_ok = evaluate_once(f"size(fields) = {LINE_FIELD_COUNT} AND NOT array_contains(failed, true)")
 
     split = lines.withColumn(
         "fields", F.expr(r"transform(split(CAST(value AS STRING), '\t', -1), x -> CASE WHEN x <> '' THEN x END)")
     )
     typed = split.selectExpr("*", *_typed_columns())
     checked = typed.selectExpr("*", f"array({', '.join(failed for _, _, failed in checks)}) AS failed")
-    return checked.select(
-        *lines.columns,
-        *[name for name, _ in ATOMIC_FIELDS],
-        F.col("unstruct_event").alias(EVENT_ENTITY),
-        F.expr(contexts).alias(CONTEXT_ENTITIES),
-        evaluate_once(parse_ok).alias(PARSE_OK),
-        F.expr(parse_error).alias(PARSE_ERROR),
+    helpers = ", ".join(("fields", "failed", *JSON_FIELDS))
+    return checked.selectExpr(
+        f"* EXCEPT ({helpers})",
+        f"unstruct_event AS {EVENT_ENTITY}",
+        f"{contexts} AS {CONTEXT_ENTITIES}",
+        f"{parse_ok} AS {PARSE_OK}",
+        f"{parse_error} AS {PARSE_ERROR}",
     )
 
 

@@ -1,6 +1,6 @@
 """Parsed events to rows of the events table."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from rillet.constants import CONTEXTS_PREFIX, LOAD_COLUMN, SCHEMA_VERSION_KEY, UNSTRUCT_PREFIX
 from rillet.functions.entities import column_of_valid_key, is_schema_key, is_skipped, schema_version
@@ -68,10 +68,9 @@ def transform_events(
         ELSE transform({CONTEXT_NAMES}, c -> transform(
             filter(arrays_zip(context_columns, context_values), z -> z.context_columns = c), z -> z.context_values)) END"""
 
-    checked = skip_schemas(parsed, skip).withColumn(TRANSFORM_OK, evaluate_once(F.expr(all_usable)))
-    kept = [name for name in checked.columns if name not in (event, contexts)]
+    checked = skip_schemas(parsed, skip).withColumn(TRANSFORM_OK, F.expr(evaluate_once(all_usable)))
     valued = checked.selectExpr(
-        *kept,
+        f"* EXCEPT ({event}, {contexts})",
         f"CASE WHEN {PARSE_OK} AND NOT {TRANSFORM_OK} THEN {error} END AS {TRANSFORM_ERROR}",
         f"CASE WHEN {TRANSFORM_OK} AND {event} IS NOT NULL THEN {column_of_valid_key(event + '.schema', UNSTRUCT_PREFIX)} END AS {UNSTRUCT_NAME}",
         f"CASE WHEN {TRANSFORM_OK} THEN {_value(event, False)} END AS {UNSTRUCT_VALUE}",
@@ -96,13 +95,11 @@ def entity_columns(rows: DataFrame) -> DataFrame:
 
 def wide_rows(rows: DataFrame, names) -> DataFrame:
     """The table's columns for each row: atomic columns, load timestamp, one column per entity type."""
-    return rows.select(
-        *ATOMIC_NAMES, LOAD_COLUMN, *[entity_value(name).alias(name) for name in names]
-    )
+    return rows.selectExpr(*ATOMIC_NAMES, LOAD_COLUMN, *[entity_value(name) for name in names])
 
 
-def entity_value(name: str) -> Column:
-    """Value of an entity column of a transformed row; null where the event lacks the entity."""
-    if name.startswith("contexts_"):
-        return F.col(CONTEXTS)[name]
-    return F.when(F.col(UNSTRUCT_NAME) == name, F.col(UNSTRUCT_VALUE))
+def entity_value(name: str) -> str:
+    """SQL for an entity column of a transformed row; null where the event lacks the entity."""
+    if name.startswith(CONTEXTS_PREFIX):
+        return f"{CONTEXTS}['{name}'] AS `{name}`"
+    return f"CASE WHEN {UNSTRUCT_NAME} = '{name}' THEN {UNSTRUCT_VALUE} END AS `{name}`"

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rillet.constants import NOT_NULL_COLUMNS
 from rillet.functions.errors import is_data_issue
 from rillet.operators.transform import CONTEXT_NAMES, UNSTRUCT_NAME
-from rillet.session import evaluate_once
 
 #: (condition that is true for a failing row, error code, message)
 Validator = tuple[Column, str, str]
@@ -52,8 +51,3 @@ def failure_outcome(extra_cols: Column, error_code: Column) -> Column:
         .when(is_data_issue(error_code), F.lit("bad"))
         .otherwise(F.lit("fatal"))
     )
-
-
-def insertable(transform_ok: Column, error_code: Column) -> Column:
-    """Rows that go into the table."""
-    return evaluate_once(transform_ok & error_code.isNull())

@@ -7,13 +7,14 @@ from datetime import datetime, timezone
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
-from rillet.constants import DEFAULT_UPLOAD_FACTOR
+from rillet.constants import DEFAULT_MAX_BATCH_BYTES, DEFAULT_UPLOAD_FACTOR
 from rillet.functions.errors import is_data_issue
 from rillet.operators.bad_rows import Processor, limit_size, unreadable_events, unwritable_events
 from rillet.operators.metrics import batch_metrics, parallelism
 from rillet.operators.parse import parse_lines
 from rillet.operators.transform import TRANSFORM_OK, entity_columns, transform_events
-from rillet.operators.validate import Validator, insertable, row_validators, validate_rows
+from rillet.operators.validate import Validator, row_validators, validate_rows
+from rillet.session import evaluate_once
 from rillet.sinks.failed_events import FailedEventSink
 from rillet.sinks.table import append_rows, evolve_table
 
@@ -35,8 +36,8 @@ class LoadOptions:
     #: Keep the transformed batch for the three reads that follow.  Right for micro-batches; turn
     #: it off to load a large stored table, which is then parsed once per read instead.
     persist: bool = True
-    #: Aim for files of this size; only used for a persisted batch.
-    target_file_bytes: int = 128_000_000
+    #: Input bytes per writer, as in a batch of one writer; only used for a persisted batch.
+    bytes_per_writer: int = DEFAULT_MAX_BATCH_BYTES
     upload_factor: str = DEFAULT_UPLOAD_FACTOR
     source_time: str | None = None
     metrics_table: str | None = None
@@ -62,7 +63,7 @@ def prepare_rows(lines: DataFrame, options: LoadOptions, now: str) -> DataFrame:
     """
     rows = transform_events(parse_lines(lines), now, options.skip_schemas, options.with_schema_version)
     validated = validate_rows(rows, row_validators(options.max_row_bytes, options.validators))
-    return validated.withColumn("insertable", insertable(F.col(TRANSFORM_OK), F.col("error_code")))
+    return validated.withColumn("insertable", F.expr(evaluate_once(f"{TRANSFORM_OK} AND error_code IS NULL")))
 
 
 def failed_events(rows: DataFrame, options: LoadOptions) -> DataFrame:
@@ -119,7 +120,7 @@ def load_batch(lines: DataFrame, options: LoadOptions, batch_id: int | None = No
 
 
 def _writers(spark, n_bytes: int, options: LoadOptions) -> int:
-    by_size = -(-n_bytes // options.target_file_bytes)
+    by_size = -(-n_bytes // options.bytes_per_writer)
     return max(1, min(by_size, parallelism(spark.sparkContext.defaultParallelism, options.upload_factor)))
 
 

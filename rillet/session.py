@@ -2,7 +2,7 @@
 
 import uuid
 
-from pyspark.sql import Column, SparkSession, functions as F
+from pyspark.sql import SparkSession
 
 SETTINGS = {
     # All event times are UTC.
@@ -33,11 +33,11 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/rillet-{uuid.uuid4().hex}"
 
 
-def evaluate_once(flag: Column) -> Column:
-    """The same flag, kept where it is computed.
+def evaluate_once(flag: str) -> str:
+    """SQL for the same flag, kept where it is computed.
 
     Spark copies the expression of a column into every filter on that column that it pushes down.
     For a flag that depends on the whole parsed line this means parsing each line again for each
     filter.  Spark does not push filters through a column that depends on the partition number.
     """
-    return flag & (F.spark_partition_id() >= 0)
+    return f"({flag}) AND spark_partition_id() >= 0"

@@ -3,7 +3,7 @@
 import logging
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from rillet.constants import ALERT_TEXTS, LOAD_COLUMN, UNRECOGNIZED_COLUMN_TEXT
 from rillet.operators.transform import entity_value
@@ -79,12 +79,12 @@ def evolve_table(spark: SparkSession, table: str, names) -> list[str]:
     return add_columns(spark, table, [name for name in names if name not in present])
 
 
-def table_row(columns) -> list[Column]:
-    """A transformed row in the columns of the table; entity columns come from the entities."""
+def table_row(columns) -> list[str]:
+    """SQL for a transformed row in the columns of the table; entity columns come from the entities."""
     atomic = {*ATOMIC_NAMES, LOAD_COLUMN}
     entity = ("unstruct_event_", "contexts_")
     return [
-        F.col(name) if name in atomic else entity_value(name).alias(name)
+        name if name in atomic else entity_value(name)
         for name in columns
         if name in atomic or name.startswith(entity)
     ]
@@ -99,7 +99,7 @@ def append_rows(rows: DataFrame, table: str, attempts: int = 3) -> None:
     spark = rows.sparkSession
     for attempt in range(1, attempts + 1):
         try:
-            wide = rows.select(*table_row(table_columns(spark, table)))
+            wide = rows.selectExpr(*table_row(table_columns(spark, table)))
             spark.sql(f"INSERT INTO {table} BY NAME SELECT * FROM {{rows}}", rows=wide)
             return
         except AnalysisException:
