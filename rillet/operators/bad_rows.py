@@ -41,26 +41,41 @@ def _payload() -> Column:
     return F.make_valid_utf8(F.col("value").cast("string"))
 
 
-def unreadable_events(rows: DataFrame, processor: Processor, keep=()) -> DataFrame:
-    """Failed events for the rows that could not be parsed or transformed: one pass, one filter.
+def rejected_events(rows: DataFrame, rejected: Column, processor: Processor, keep=()) -> DataFrame:
+    """Failed events for the rejected rows of a transformed batch: one pass, one filter.
 
-    ``keep`` names further columns to carry along.
+    The kind follows from the step that failed: parsing, transforming, or the row checks if the
+    rows carry an ``error_message``.  ``keep`` names further columns to carry along.
     """
     payload = _payload()
-    failed = rows.filter(~F.col(TRANSFORM_OK))
-    parsed = F.col(PARSE_OK)
-    return failed.select(
+    reasons = [
+        (~F.col(PARSE_OK), PARSING, F.to_json(PARSE_ERROR), F.col(PARSE_ERROR)),
+        (~F.col(TRANSFORM_OK), TRANSFORM, F.to_json(TRANSFORM_ERROR), F.col(TRANSFORM_ERROR)),
+    ]
+    if "error_message" in rows.columns:
+        reasons.append((F.lit(True), RUNTIME, F.col("error_message"), F.col("error_message")))
+
+    def by_reason(value) -> Column:
+        chosen = F.lit(None).cast("string")
+        for condition, kind, text, failure in reversed(reasons):
+            chosen = F.when(condition, value(kind, text, failure)).otherwise(chosen)
+        return chosen
+
+    return rows.filter(rejected).select(
         *keep,
-        F.when(parsed, F.lit(TRANSFORM)).otherwise(F.lit(PARSING)).alias("kind"),
+        by_reason(lambda kind, text, failure: F.lit(kind)).alias("kind"),
         *[column.alias(name) for name, column in processor.columns().items()],
-        F.when(parsed, F.to_json(TRANSFORM_ERROR)).otherwise(F.to_json(PARSE_ERROR)).alias("failure"),
+        by_reason(lambda kind, text, failure: text).alias("failure"),
         payload.alias("payload"),
-        F.when(parsed, processor.json(TRANSFORM, F.col(TRANSFORM_ERROR), payload))
-        .otherwise(processor.json(PARSING, F.col(PARSE_ERROR), payload))
-        .alias("json"),
+        by_reason(lambda kind, text, failure: processor.json(kind, failure, payload)).alias("json"),
     )
 
 
+def unreadable_events(rows: DataFrame, processor: Processor, keep=()) -> DataFrame:
+    """Failed events for the rows that could not be parsed or transformed."""
+    return rejected_events(rows, ~F.col(TRANSFORM_OK), processor, keep)
+
+
 def unwritable_events(rows: DataFrame, message: Column, processor: Processor, keep=()) -> DataFrame:
     """Failed events for rows that the table did not take, with the error message as the failure."""
     payload = _payload()

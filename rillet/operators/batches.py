@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from rillet.constants import DEFAULT_MAX_BATCH_BYTES, DEFAULT_MAX_RECORDS_PER_FETCH
 from rillet.functions.alerts import channel_name
+from rillet.session import materialise
 
 
 def running_start(rows: DataFrame, partition: str, order: str, measures: list[str], block: int) -> DataFrame:
@@ -12,10 +13,11 @@ def running_start(rows: DataFrame, partition: str, order: str, measures: list[st
     Adds ``start_<measure>``.  ``order`` is a whole number that is unique in a partition, such as
     an offset.  A partition may hold a third of all rows, so it is never one window: the order is
     cut into blocks of at most ``block`` rows, the totals of the blocks are summed up first, and
-    the rows are summed inside their blocks.
+    the rows are summed inside their blocks.  The rows are read for both, so they are written once
+    before: pass a rollup or another small part of the lines.
     """
     keys = [partition, "block"]
-    blocked = rows.withColumn("block", F.floor(F.col(order) / block))
+    blocked = materialise(rows).withColumn("block", F.floor(F.col(order) / block))
     totals = blocked.groupBy(*keys).agg(*[F.sum(m).alias(f"total_{m}") for m in measures])
     earlier_blocks = Window.partitionBy(partition).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(

@@ -16,26 +16,24 @@ def good_bad_counts(rows: DataFrame, ok: Column) -> DataFrame:
     )
 
 
-def batch_metrics(
-    rows: DataFrame, ok: Column, now: Column, source_time: str | None = None, *more: Column
-) -> DataFrame:
-    """One row for a batch: counts, bytes, earliest event time, stream and end-to-end latency.
+def metric_columns(ok: Column, now: Column, source_time: str | None = None, line_bytes: Column | None = None) -> list[Column]:
+    """Aggregates for a batch: counts, bytes, earliest event time, stream and end-to-end latency.
 
-    The end-to-end latency is null when nothing was parsed.  ``more`` are further aggregates.
+    The end-to-end latency is null when nothing was parsed.
     """
+    line_bytes = F.octet_length("value") if line_bytes is None else line_bytes
     source_latency = latency_ms(now, F.min(source_time)) if source_time else F.lit(None).cast("bigint")
     earliest = F.min(F.when(F.col("parse_ok"), F.col("collector_tstamp")))
     good = F.count_if(ok)
-    return rows.agg(
+    return [
         F.count(F.lit(1)).alias("n"),
         good.alias("good"),
         (F.count(F.lit(1)) - good).alias("bad"),
-        F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum(line_bytes), F.lit(0)).alias("bytes"),
         earliest.alias("earliest"),
         F.coalesce(source_latency, F.lit(0)).alias("latency_ms"),
         latency_ms(now, earliest).alias("e2e_latency_ms"),
-        *more,
-    )
+    ]
 
 
 def metrics_report(batches: DataFrame, period: str = C.DEFAULT_METRICS_PERIOD) -> DataFrame:

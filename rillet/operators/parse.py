@@ -78,7 +78,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     parse_ok = evaluate_once(f"size(fields) = {LINE_FIELD_COUNT} AND NOT array_contains(failed, true)")
 
     split = lines.withColumn(
-        "fields", F.expr(r"transform(split(CAST(value AS STRING), '\t', -1), x -> CASE WHEN x <> '' THEN x END)")
+        "fields", F.expr(r"transform(split(coalesce(CAST(value AS STRING), ''), '\t', -1), x -> CASE WHEN x <> '' THEN x END)")
     )
     typed = split.selectExpr("*", *_typed_columns())
     checked = typed.selectExpr("*", f"array({', '.join(failed for _, _, failed in checks)}) AS failed")

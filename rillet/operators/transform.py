@@ -1,6 +1,6 @@
 """Parsed events to rows of the events table."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rillet.constants import CONTEXTS_PREFIX, LOAD_COLUMN, SCHEMA_VERSION_KEY, UNSTRUCT_PREFIX
 from rillet.functions.entities import column_of_valid_key, is_schema_key, is_skipped, schema_version
@@ -84,12 +84,15 @@ def transform_events(
     )
 
 
+def entity_names() -> Column:
+    """Array of the entity columns of a row; empty for rows without entities."""
+    return F.expr(f"array_compact(array_append(coalesce({CONTEXT_NAMES}, CAST(array() AS array<string>)), {UNSTRUCT_NAME}))")
+
+
 def entity_columns(rows: DataFrame) -> DataFrame:
     """The distinct entity columns the rows need: one small shuffle of names."""
-    no_names = F.array().cast("array<string>")
-    names = F.array_append(F.coalesce(CONTEXT_NAMES, no_names), F.col(UNSTRUCT_NAME))
     # The outer form: for the inner one Spark adds a filter that computes the names a second time.
-    exploded = rows.select(F.explode_outer(names).alias("name"))
+    exploded = rows.select(F.explode_outer(entity_names()).alias("name"))
     return exploded.distinct().filter(F.col("name").isNotNull())
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rillet.constants import NOT_NULL_COLUMNS
 from rillet.functions.errors import is_data_issue
-from rillet.operators.transform import CONTEXT_NAMES, UNSTRUCT_NAME
+from rillet.operators.transform import entity_names
 
 #: (condition that is true for a failing row, error code, message)
 Validator = tuple[Column, str, str]
@@ -35,8 +35,7 @@ def validate_rows(rows: DataFrame, validators: Iterable[Validator]) -> DataFrame
 
 def extra_columns_of_row(table_columns: Iterable[str]) -> Column:
     """Entity columns a row needs and the table lacks."""
-    needed = F.array_compact(F.array_append(F.coalesce(CONTEXT_NAMES, F.array().cast("array<string>")), F.col(UNSTRUCT_NAME)))
-    return F.array_except(needed, F.array(*[F.lit(name) for name in table_columns]))
+    return F.array_except(entity_names(), F.array(*[F.lit(name) for name in table_columns]))
 
 
 def failure_outcome(extra_cols: Column, error_code: Column) -> Column:

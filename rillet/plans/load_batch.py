@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from rillet.constants import DEFAULT_MAX_BATCH_BYTES, DEFAULT_UPLOAD_FACTOR
 from rillet.functions.errors import is_data_issue
-from rillet.operators.bad_rows import Processor, limit_size, unreadable_events, unwritable_events
-from rillet.operators.metrics import batch_metrics, parallelism
+from rillet.operators.bad_rows import Processor, limit_size, rejected_events
+from rillet.operators.metrics import metric_columns, parallelism
 from rillet.operators.parse import parse_lines
-from rillet.operators.transform import TRANSFORM_OK, entity_columns, transform_events
+from rillet.operators.transform import TRANSFORM_OK, entity_names, transform_events
 from rillet.operators.validate import Validator, row_validators, validate_rows
 from rillet.session import evaluate_once
 from rillet.sinks.failed_events import FailedEventSink
@@ -68,10 +68,7 @@ def prepare_rows(lines: DataFrame, options: LoadOptions, now: str) -> DataFrame:
 
 def failed_events(rows: DataFrame, options: LoadOptions) -> DataFrame:
     """Failed events of a prepared batch, cut to the size limit."""
-    unwritable = rows.filter(F.col(TRANSFORM_OK) & ~F.col("insertable"))
-    bad = unreadable_events(rows, options.processor).unionByName(
-        unwritable_events(unwritable, F.col("error_message"), options.processor)
-    )
+    bad = rejected_events(rows, ~F.col("insertable"), options.processor)
     return limit_size(bad, options.max_failed_event_bytes, options.processor)
 
 
@@ -87,29 +84,23 @@ def load_batch(lines: DataFrame, options: LoadOptions, batch_id: int | None = No
     if options.persist:
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        insert = F.col("insertable")
-        fatal = F.col(TRANSFORM_OK) & F.col("error_code").isNotNull() & ~is_data_issue(F.col("error_code"))
-        metrics = batch_metrics(
-            rows.withColumn("fatal", fatal), insert, F.lit(now).cast("timestamp_ntz"), options.source_time,
-            F.count_if("fatal").alias("fatal"), F.count_if(TRANSFORM_OK).alias("transformed"),
-        )
-        report = metrics.first()
+        report, names = _survey(rows, options, now)
+        if report is None:
+            return BatchResult(0, 0, 0, 0, 0, None)
         if report["fatal"]:
             raise FatalWriteError(f"{report['fatal']} rows failed with an error this job cannot tolerate")
 
         added = []
         if report["transformed"]:
-            # Columns of all transformed rows count, also of rows that fail the checks.
-            names = sorted(row["name"] for row in entity_columns(rows).collect())
             added = evolve_table(spark, options.table, names)
-            good = rows.filter(insert)
+            good = rows.filter("insertable")
             if options.persist:
                 good = good.coalesce(_writers(spark, report["bytes"], options))
             append_rows(good, options.table)
         if report["bad"]:
             options.failed_events.write(failed_events(rows, options))
         if options.metrics_table:
-            _append_metrics(metrics.sparkSession, report, now, batch_id, options.metrics_table)
+            _append_metrics(spark, report, now, batch_id, options.metrics_table)
         return BatchResult(
             report["n"], report["good"], report["bad"], report["bytes"],
             report["latency_ms"], report["e2e_latency_ms"], added,
@@ -119,6 +110,30 @@ def load_batch(lines: DataFrame, options: LoadOptions, batch_id: int | None = No
             rows.unpersist()
 
 
+def _survey(rows: DataFrame, options: LoadOptions, now: str):
+    """Counts of the batch, and the entity columns its rows need, in one pass.
+
+    Each row counts once under the empty name and once under each of its entity columns.  Columns
+    of all transformed rows count, also of rows that fail the checks.
+    """
+    fatal = F.col(TRANSFORM_OK) & F.col("error_code").isNotNull() & ~is_data_issue(F.col("error_code"))
+    source_time = [options.source_time] if options.source_time else []
+    counted = rows.select(
+        "parse_ok", TRANSFORM_OK, "insertable", "collector_tstamp", *source_time,
+        fatal.alias("fatal"),
+        F.octet_length("value").alias("line_bytes"),
+        F.explode_outer(F.array_append(entity_names(), F.lit(""))).alias("name"),
+    )
+    metrics = metric_columns(
+        F.col("insertable"), F.lit(now).cast("timestamp_ntz"), options.source_time, F.col("line_bytes")
+    )
+    found = counted.groupBy("name").agg(
+        *metrics, F.count_if("fatal").alias("fatal"), F.count_if(TRANSFORM_OK).alias("transformed")
+    )
+    by_name = {row["name"]: row for row in found.collect()}
+    return by_name.pop("", None), sorted(by_name)
+
+
 def _writers(spark, n_bytes: int, options: LoadOptions) -> int:
     by_size = -(-n_bytes // options.bytes_per_writer)
     return max(1, min(by_size, parallelism(spark.sparkContext.defaultParallelism, options.upload_factor)))

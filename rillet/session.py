@@ -2,7 +2,7 @@
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # All event times are UTC.
@@ -41,3 +41,14 @@ def evaluate_once(flag: str) -> str:
     filter.  Spark does not push filters through a column that depends on the partition number.
     """
     return f"({flag}) AND spark_partition_id() >= 0"
+
+
+def materialise(rows: DataFrame) -> DataFrame:
+    """The same rows, computed once and read back from the shared folder.
+
+    For small results of a pass over all lines that are needed more than once: Spark would repeat
+    the pass for each use.  The written rows survive the loss of executors.
+    """
+    folder = shared_folder(rows.sparkSession)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
