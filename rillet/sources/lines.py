@@ -8,7 +8,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rillet.constants import DEFAULT_CPU_FACTOR
 from rillet.operators.metrics import parallelism
 
 LINE_COLUMNS = ("src_partition", "src_id", "src_ts", "value")
@@ -62,7 +61,7 @@ def read_lines(
     return normalise(records, columns)
 
 
-def spread(records: DataFrame, factor: str = DEFAULT_CPU_FACTOR) -> DataFrame:
+def spread(records: DataFrame, factor: str = "1") -> DataFrame:
     """Spread a source with few partitions over the cores, since parsing costs more than moving.
 
     Large sources have more partitions than that and stay as they are.
