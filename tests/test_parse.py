@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from rillet.functions.texts import utf8_payload
 from rillet.operators.parse import parse_lines
 from rillet.operators.transform import entity_columns, transform_events, wide_rows
+from rillet.operators.validate import extra_columns_of_row
 from rillet.schema import ATOMIC_FIELDS, LINE_POSITIONS, events_schema
 from tests.lines import BAD_LINES, NOW, contexts, frame, line, unstruct
 
@@ -120,6 +121,14 @@ def test_unusable_entities(spark):
         assert row["unstruct_name"] is None and row["contexts"] is None
 
 
+def test_extra_columns_of_a_row(spark):
+    rows = transformed(
+        spark, unstruct_event=unstruct("x:a/e/jsonschema/1-0-0", "{}"), contexts=contexts(("x:a/c/jsonschema/1-0-0", "{}"))
+    )
+    extra = rows.select(extra_columns_of_row(["app_id", "contexts_a_c_1"]).alias("extra")).first()["extra"]
+    assert extra == ["unstruct_event_a_e_1"]
+
+
 def test_filters_do_not_parse_twice(spark):
     """The filter on the flag stays above the projection that computes it."""
     plan = parse_lines(frame(spark, [line()])).filter("parse_ok").select("app_id")._jdf.queryExecution().optimizedPlan().toString()
