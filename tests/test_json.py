@@ -63,8 +63,8 @@ def plain_document(value):
     return value
 
 
-@given(st.lists(st.dictionaries(TEXTS, VALUES, max_size=5), min_size=150, max_size=200))
-@settings(max_examples=2, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.dictionaries(TEXTS, VALUES, max_size=5), min_size=20, max_size=40))
+@settings(max_examples=2, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
 def test_random_documents(spark, documents):
     cases = []
     for document in documents:
