@@ -5,7 +5,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rillet.llm.exact_dedup import exact_groups
+from rillet.llm.langid import identify, learn, training_texts
 from rillet.llm.mixing import mix_documents
+from rillet.llm.near_dedup import near_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +83,16 @@ FROM t WINDOW g AS (PARTITION BY text_sha256)
 def op2_exact_dedup(spark, sf_dir):
     """Equal documents; of each group the largest id stays."""
     return exact_groups(table(spark, sf_dir, "documents"), keep="largest")
+
+
+@query()
+def op7_language_id(spark, sf_dir):
+    """The language of every document, learned from two thirds of them."""
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, learn(training_texts(docs)))
+
+
+@query()
+def op8_near_dedup(spark, sf_dir):
+    """Groups of documents whose shingle sets are similar by 75 percent or more."""
+    return near_groups(table(spark, sf_dir, "documents"))
