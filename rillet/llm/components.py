@@ -6,48 +6,39 @@ from pyspark.sql import functions as F
 from rillet.llm.common import checkpointed
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, component) of all nodes of the edges (a, b); the component is its smallest node.
+def contracted(edges: DataFrame) -> list[DataFrame]:
+    """Tables (node, parent) that, applied one after another, take each node to its component.
 
-    Each round joins every node to its smallest neighbour, follows these pointers to their ends
-    by doubling, and replaces nodes by those ends, so stars and paths shrink to a node in a few
-    rounds.  All steps are joins and aggregations of checkpointed tables; only counts reach the driver.
+    The component is named by its smallest node; nodes without edges are in no table.  Each round
+    points every node to its smallest neighbour, or to what that one and its next point to, and
+    replaces the ends of all edges.  Stars and paths shrink to a node in a few rounds.  All steps are joins and
+    aggregations of checkpointed tables; only whether edges are left reaches the driver.
     """
-    edges = checkpointed(edges.select("a", "b").filter("a <> b").distinct())
-    nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
-    labels = checkpointed(nodes.withColumn("component", F.col("node")))
+    tables: list[DataFrame] = []
+    edges = _proper(edges)
     while not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
         parents = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
-        parents = _followed(
-            checkpointed(parents.select("node", F.least("node", "least").alias("parent")))
+        parents = parents.select("node", F.least("node", "least").alias("parent"))
+        # The parent of the parent, and its parent.
+        parents = checkpointed(replaced(parents, "parent", [parents, parents]))
+        tables.append(parents)
+        edges = _proper(replaced(replaced(edges, "a", [parents]), "b", [parents]))
+    return tables
+
+
+def _proper(edges: DataFrame) -> DataFrame:
+    edges = edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return checkpointed(edges.distinct())
+
+
+def replaced(rows: DataFrame, column: str, tables: list[DataFrame]) -> DataFrame:
+    """``rows`` with the nodes in ``column`` taken through the tables."""
+    for table in tables:
+        step = table.select(F.col("node").alias("_node"), F.col("parent").alias("_parent"))
+        rows = (
+            rows.join(step, F.col(column) == F.col("_node"), "left")
+            .withColumn(column, F.coalesce("_parent", column))
+            .drop("_node", "_parent")
         )
-        labels = checkpointed(_replaced(labels, "component", parents))
-        edges = _replaced(_replaced(edges, "a", parents), "b", parents)
-        edges = checkpointed(
-            edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        )
-    return labels
-
-
-def _followed(parents: DataFrame) -> DataFrame:
-    """Every node with the end of its chain of parents."""
-    while True:
-        ahead = parents.select(F.col("node").alias("_node"), F.col("parent").alias("_ahead"))
-        parents = checkpointed(
-            parents.join(ahead, F.col("parent") == F.col("_node")).select(
-                "node", F.col("_ahead").alias("parent"), (F.col("_ahead") < F.col("parent")).alias("moved")
-            )
-        )
-        if parents.filter("moved").isEmpty():
-            return parents.select("node", "parent")
-
-
-def _replaced(rows: DataFrame, column: str, parents: DataFrame) -> DataFrame:
-    """``rows`` with the ends of their chains in ``column``."""
-    table = parents.select(F.col("node").alias("_node"), F.col("parent").alias("_parent"))
-    return (
-        rows.join(table, F.col(column) == F.col("_node"), "left")
-        .withColumn(column, F.coalesce("_parent", column))
-        .drop("_node", "_parent")
-    )
+    return rows

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillet.llm.common import checkpointed, group_totals, salts
-from rillet.llm.components import components
+from rillet.llm.components import contracted, replaced
 from rillet.llm.shingles import shingle_set
 
 
@@ -33,6 +33,11 @@ class Forest:
         A pair at 75 percent is missed by all 32 lists of prefix 4 with probability 5e-6.
     depth: values that a list is sorted by.
     reach: neighbours looked at in each direction of a list.
+    first_trees, first_reach: lists and neighbours of the first round, which joins most of a dense
+        region into groups, so that the second need not look at its pairs.
+    dense_prefix: values that a candidate must share where more entries than ``reach`` share ``prefix``
+        values.  A pair at 75 percent there is missed by all lists with probability 2e-4, if
+        no more than ``reach`` entries share as many values as the pair does.
     """
 
     percent: int = 75
@@ -41,6 +46,9 @@ class Forest:
     prefix: int = 4
     depth: int = 12
     reach: int = 8
+    first_trees: int = 8
+    first_reach: int = 2
+    dense_prefix: int = 5
 
     @property
     def values(self) -> int:
@@ -90,121 +98,132 @@ def _signatures(docs: DataFrame, forest: Forest) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, n long, set_id binary, signature binary")
 
 
-def _list_entries(sets: DataFrame, forest: Forest) -> DataFrame:
-    """(key, id, n): an entry of each set in each list; the key is the list and the values in its order."""
-    order = (np.arange(forest.trees)[:, None] * forest.prefix + np.arange(forest.depth)) % forest.values
+def _list_entries(sets: DataFrame, forest: Forest, trees: int) -> DataFrame:
+    """(key, id, n, label): an entry of each set in each of the first lists.
+
+    The key is the number of the list and the values in its order.
+    """
+    order = (np.arange(trees)[:, None] * forest.prefix + np.arange(forest.depth)) % forest.values
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
             signs = np.frombuffer(b"".join(batch.column("signature").to_pylist()), ">u2").reshape(len(batch), -1)
-            keys = np.empty((len(batch), forest.trees, 2 + 2 * forest.depth), np.uint8)
-            keys[:, :, :2] = np.arange(forest.trees, dtype=">u2")[:, None].view(np.uint8)
+            keys = np.empty((len(batch), trees, 2 + 2 * forest.depth), np.uint8)
+            keys[:, :, :2] = np.arange(trees, dtype=">u2")[:, None].view(np.uint8)
             keys[:, :, 2:] = np.ascontiguousarray(signs[:, order]).view(np.uint8)
             size = keys.shape[2]
             offsets = np.arange(0, keys.size + 1, size, dtype=np.int32)
             column = pa.Array.from_buffers(
-                pa.binary(), len(batch) * forest.trees, [None, pa.py_buffer(offsets), pa.py_buffer(keys.tobytes())]
+                pa.binary(), len(batch) * trees, [None, pa.py_buffer(offsets), pa.py_buffer(keys.tobytes())]
             )
-            repeat = lambda name: pa.array(np.repeat(batch.column(name).to_numpy(), forest.trees))
-            yield pa.RecordBatch.from_arrays([column, repeat("id"), repeat("n")], ["key", "id", "n"])
+            repeat = lambda name: pa.array(np.repeat(batch.column(name).to_numpy(), trees))
+            yield pa.RecordBatch.from_arrays([column, repeat("id"), repeat("n"), repeat("label")], ["key", "id", "n", "label"])
 
-    return sets.select("id", "n", "signature").mapInArrow(entries, "key binary, id long, n long")
+    return sets.select("id", "n", "label", "signature").mapInArrow(entries, "key binary, id long, n long, label long")
 
 
 class _Neighbours:
-    """Pairs of sorted entries at most ``reach`` apart that share the list and the first values."""
+    """Pairs of sorted entries at most ``reach`` apart that share the list and the first values.
+
+    Only pairs with different labels: others are known to be in one group.
+    """
 
-    def __init__(self, forest: Forest):
+    def __init__(self, forest: Forest, reach: int):
         self.forest = forest
-        self.prefix = 2 + 2 * forest.prefix
+        self.reach = reach
+        self.widths = [2 + 2 * depth for depth in (forest.prefix, forest.dense_prefix)]
 
-    def pairs(self, keys, ids, sizes, old: int, parts=None):
-        """(a, b, apart) of the pairs whose second entry lies at ``old`` or after it.
+    def pairs(self, keys, ids, sizes, labels, old: int, parts=None):
+        """(a, b) of the pairs whose second entry lies at ``old`` or after it.
 
         With ``parts`` only pairs of entries of different parts.
         """
-        starts = keys[:, : self.prefix]
-        run = np.concatenate([[0], np.cumsum((starts[1:] != starts[:-1]).any(axis=1))])
+        run, deep = (
+            np.concatenate([[0], np.cumsum((keys[1:, :width] != keys[:-1, :width]).any(axis=1))])
+            for width in self.widths
+        )
+        # Whether the run goes on for ``reach`` entries from here.
+        dense = np.zeros(len(ids), bool)
+        dense[: -self.reach] = run[: -self.reach] == run[self.reach :]
         found = []
-        for apart in range(1, min(self.forest.reach, len(ids) - 1) + 1):
+        for apart in range(1, min(self.reach, len(ids) - 1) + 1):
             first = slice(max(0, old - apart), len(ids) - apart)
             second = slice(max(0, old - apart) + apart, len(ids))
             small, large = np.minimum(sizes[first], sizes[second]), np.maximum(sizes[first], sizes[second])
-            good = (run[first] == run[second]) & (ids[first] != ids[second]) & (100 * small >= self.forest.percent * large)
+            close = np.where(dense[first], deep[first] == deep[second], run[first] == run[second])
+            good = close & (labels[first] != labels[second]) & (100 * small >= self.forest.percent * large)
             if parts is not None:
                 good &= parts[first] != parts[second]
             a, b = ids[first][good], ids[second][good]
-            found.append((np.minimum(a, b), np.maximum(a, b), np.full(len(a), apart, np.int64)))
-        return [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.empty(0, np.int64)] * 3
+            found.append((np.minimum(a, b), np.maximum(a, b)))
+        return [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.empty(0, np.int64)] * 2
 
 
-def _candidates(entries: DataFrame, forest: Forest) -> DataFrame:
-    """(a, b, apart): neighbours in the sorted lists, each pair once with its least distance.
+def _candidates(entries: DataFrame, forest: Forest, reach: int) -> DataFrame:
+    """(a, b): neighbours in the sorted lists.
 
     The lists are dealt out by ranges, which splits a region of any density.  Neighbours across the
     border of two parts come from a second step over the first and last entries of all parts.
     """
-    near = _Neighbours(forest)
-    reach = forest.reach
+    near = _Neighbours(forest, reach)
     width = 2 + 2 * forest.depth
+    numbers = ["id", "n", "label"]
 
     def arrays(batch):
         keys = np.frombuffer(b"".join(batch.column("key").to_pylist()), np.uint8).reshape(len(batch), width)
-        return keys, batch.column("id").to_numpy(), batch.column("n").to_numpy()
+        return keys, *(batch.column(name).to_numpy() for name in numbers)
 
     def rows(pairs, edge=None):
-        """Pairs, and entries at the border of the part."""
-        n_pairs = len(pairs[0])
-        keys, ids, sizes = edge or (np.empty((0, width), np.uint8), np.empty(0, np.int64), np.empty(0, np.int64))
-        blank = [None] * n_pairs
+        """Pairs, which have no key, and entries at the border of the part."""
+        blank = np.empty(0, np.int64)
+        keys, ids, sizes, labels = edge or ([], blank, blank, blank)
+        none = [None] * len(pairs[0])
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(np.concatenate([pairs[0], ids])),
                 pa.array(np.concatenate([pairs[1], sizes])),
-                pa.array(np.concatenate([pairs[2], np.zeros(len(ids), np.int64)])),
-                pa.array(blank + [key.tobytes() for key in keys], pa.binary()),
+                pa.array(np.concatenate([np.zeros(len(none), np.int64), labels])),
+                pa.array(none + [key.tobytes() for key in keys], pa.binary()),
             ],
-            ["a", "b", "apart", "key"],
+            ["a", "b", "label", "key"],
         )
 
+    def joined(held, new):
+        return new if held is None else tuple(np.concatenate(x) for x in zip(held, new, strict=True))
+
     def within(batches):
         held, seen = None, 0
         for batch in batches:
             if not len(batch):
                 continue
             new = arrays(batch)
-            both = new if held is None else tuple(np.concatenate(x) for x in zip(held, new, strict=True))
-            old = len(both[1]) - len(new[1])
-            head = max(0, min(reach - seen, len(new[1])))
-            yield rows(near.pairs(*both, old), tuple(x[:head] for x in new))
-            seen += len(new[1])
+            both = joined(held, new)
+            head = max(0, min(reach - seen, len(batch)))
+            yield rows(near.pairs(*both, len(both[1]) - len(batch)), tuple(x[:head] for x in new))
+            seen += len(batch)
             held = tuple(x[-reach:] for x in both)
-        if held is not None and seen > reach:
+        if seen > reach:
             rest = min(reach, seen - reach)
-            yield rows([np.empty(0, np.int64)] * 3, tuple(x[-rest:] for x in held))
+            yield rows([np.empty(0, np.int64)] * 2, tuple(x[-rest:] for x in held))
 
     def across(batches):
         held = None
         for batch in batches:
             if not len(batch):
                 continue
-            new = (*arrays(batch), batch.column("part").to_numpy())
-            both = new if held is None else tuple(np.concatenate(x) for x in zip(held, new, strict=True))
-            yield rows(near.pairs(*both[:3], len(both[1]) - len(new[1]), both[3]))
+            both = joined(held, (*arrays(batch), batch.column("part").to_numpy()))
+            yield rows(near.pairs(*both[:4], len(both[1]) - len(batch), both[4]))
             held = tuple(x[-reach:] for x in both)
 
-    kind = "a long, b long, apart long, key binary"
+    kind = "a long, b long, label long, key binary"
     dealt = entries.repartitionByRange("key", "id").sortWithinPartitions("key", "id")
     found = checkpointed(dealt.mapInArrow(within, kind).withColumn("part", F.spark_partition_id()))
     # At most 2 * reach entries per part, however large the parts are.
-    borders = found.filter("apart = 0").select("key", F.col("a").alias("id"), F.col("b").alias("n"), "part")
+    borders = found.filter("key IS NOT NULL").select("key", F.col("a").alias("id"), F.col("b").alias("n"), "label", "part")
     crossing = borders.repartition(1).sortWithinPartitions("key", "id").mapInArrow(across, kind)
-    pairs = found.filter("apart > 0").select("a", "b", "apart").union(
-        crossing.filter("apart > 0").select("a", "b", "apart")
-    )
-    return pairs.groupBy("a", "b").agg(F.min("apart").alias("apart"))
+    return found.filter("key IS NULL").select("a", "b").union(crossing.select("a", "b")).distinct()
 
 
 def _likely(pairs: DataFrame, sets: DataFrame, forest: Forest) -> DataFrame:
@@ -217,14 +236,14 @@ def _likely(pairs: DataFrame, sets: DataFrame, forest: Forest) -> DataFrame:
                 np.frombuffer(b"".join(batch.column(x).to_pylist()), ">u2").reshape(len(batch), forest.values)
                 for x in ("left", "right")
             )
-            yield batch.select(["a", "b", "apart"]).filter(pa.array((left == right).sum(axis=1) >= least))
+            yield batch.select(["a", "b"]).filter(pa.array((left == right).sum(axis=1) >= least))
 
     signs = sets.select("id", "signature")
     both = (
         pairs.join(signs.toDF("a", "left"), "a").join(signs.toDF("b", "right"), "b")
-        .select("a", "b", "apart", "left", "right")
+        .select("a", "b", "left", "right")
     )
-    return both.mapInArrow(agree, "a long, b long, apart long")
+    return both.mapInArrow(agree, "a long, b long")
 
 
 def _full_sets(docs: DataFrame, sets: DataFrame, pairs: DataFrame, forest: Forest) -> DataFrame:
@@ -272,9 +291,9 @@ def near_groups(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
     kept.  Rows that repeat an id with the same words are in one group and both kept.  Other columns are not
     read; an empty table gives an empty result.
 
-    Equal sets are one entry of the lists.  Neighbours next to each other are confirmed first; of the
-    others only those that are still in different groups, so a large group of near copies does
-    not have all its pairs compared.
+    Equal sets are one entry of the lists.  A first round looks at near neighbours in a few lists,
+    the second at all neighbours in all lists that are not in one group yet.  So a large group of
+    near copies is not compared pair by pair.
     """
     parts = salts(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -290,20 +309,12 @@ def near_groups(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
     sets = checkpointed(
         member.filter("doc_id = least").select(F.col("doc_id").alias("id"), "set_id", "n", "signature").dropDuplicates(["id", "set_id"])
     )
-    pairs = checkpointed(_likely(_candidates(_list_entries(sets, forest), forest), sets, forest))
-    full = checkpointed(_full_sets(docs, sets, pairs, forest))
-    links = checkpointed(_links(pairs.filter("apart = 1"), full, forest))
-    first = components(links)
-    rest = _apart(pairs.filter("apart > 1"), first)
-    more = checkpointed(_links(rest, full, forest))
-    if more.isEmpty():
-        groups = first
-    else:
-        groups = components(links.union(more))
-    labels = (
-        whole.join(groups, F.col("least") == F.col("node"), "left")
-        .select("set_id", "salt", F.coalesce("component", "least").alias("component_id"))
-    )
+    sets = sets.withColumn("label", F.col("id"))
+    first = contracted(_round_links(docs, sets, forest, forest.first_trees, forest.first_reach))
+    known = checkpointed(replaced(sets, "label", first))
+    links = _round_links(docs, known, forest, forest.trees, forest.reach)
+    second = contracted(replaced(replaced(links, "a", first), "b", first))
+    labels = replaced(whole.withColumnRenamed("least", "component_id"), "component_id", [*first, *second])
     return signed.select("doc_id", "n", "set_id", "salt").join(labels, ["set_id", "salt"], "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
@@ -311,15 +322,12 @@ def near_groups(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
-    """The pairs whose ends are not in one group yet."""
-    left = groups.select(F.col("node").alias("_a"), F.col("component").alias("_left"))
-    right = groups.select(F.col("node").alias("_b"), F.col("component").alias("_right"))
-    return (
-        pairs.join(left, F.col("a") == F.col("_a"), "left").join(right, F.col("b") == F.col("_b"), "left")
-        .filter(F.coalesce("_left", "a") != F.coalesce("_right", "b"))
-        .select("a", "b", "apart")
-    )
+def _round_links(docs: DataFrame, sets: DataFrame, forest: Forest, trees: int, reach: int) -> DataFrame:
+    """Confirmed links between neighbours in the first lists that have different labels."""
+    candidates = _candidates(_list_entries(sets, forest, trees), forest, reach)
+    pairs = checkpointed(_likely(candidates, sets, forest))
+    full = checkpointed(_full_sets(docs, sets, pairs, forest))
+    return checkpointed(_links(pairs, full, forest))
 
 
 def representatives(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
