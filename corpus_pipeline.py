@@ -4,21 +4,49 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rillet.llm.decontaminate import clean
 from rillet.llm.exact_dedup import deduplicated
+from rillet.llm.langid import learn, recognised, training_texts
 from rillet.llm.mixing import mixed
+from rillet.llm.near_dedup import representatives
 
+#: Documents whose best language scores less are in none of the known languages.
+MIN_LANGUAGE_SCORE = 0.2
 
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts stays."""
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the labelled ones teach stay."""
+    return recognised(docs, learn(training_texts(docs)), MIN_LANGUAGE_SCORE)
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the document with the smallest id stays."""
     return deduplicated(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id stays."""
+    return representatives(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark stay."""
+    return clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with the number of copies."""
+    """The documents that the mix of sources takes, with the number of copies."""
     return mixed(docs)
 
 
-STAGES = [("exact_dedup", exact), ("mix", mix)]
+STAGES = [
+    ("language_id", language_id),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("mix", mix),
+]
+#: SQL cannot express n-gram ranks, MinHash and SimHash; tests/llm checks run() by brute force.
 ORACLE_SQL = None
 
 

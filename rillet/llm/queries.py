@@ -4,6 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rillet.llm.decontaminate import leaks
 from rillet.llm.exact_dedup import exact_groups
 from rillet.llm.langid import identify, learn, training_texts
 from rillet.llm.mixing import mix_documents
@@ -96,3 +97,9 @@ def op7_language_id(spark, sf_dir):
 def op8_near_dedup(spark, sf_dir):
     """Groups of documents whose shingle sets are similar by 75 percent or more."""
     return near_groups(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_decontaminate(spark, sf_dir):
+    """Documents that hold benchmark items, with the items."""
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

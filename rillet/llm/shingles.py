@@ -52,19 +52,26 @@ def word_hashes(text: str, marks: bool = False) -> tuple[np.ndarray, np.ndarray,
     return mixed(np.add.reduceat(values, firsts)), begins, ends
 
 
-def shingle_hashes(words: np.ndarray, size: int = 5) -> np.ndarray:
-    """A hash per run of ``size`` words; of fewer words the whole sequence is one shingle."""
-    n = len(words)
-    if not n:
+#: Words of a full shingle; runs of fewer words never equal one.
+FULL = 5
+
+
+def run_hashes(words: np.ndarray, width: int) -> np.ndarray:
+    """A hash for each run of ``width`` words."""
+    if len(words) < width or not width:
         return np.empty(0, np.uint64)
-    step = np.uint64(_STEP)
-    width = min(n, size)
-    total = words[: n - width + 1].copy()
+    step, ends = np.uint64(_STEP), len(words) - width + 1
+    total = words[:ends].copy()
     for place in range(1, width):
-        total = total * step + words[place : n - width + 1 + place]
-    return mixed(total if n >= size else total + np.uint64(_SHORT * n % 2**64))
+        total = total * step + words[place : ends + place]
+    return mixed(total + np.uint64(0 if width == FULL else _SHORT * width % 2**64))
+
+
+def shingle_hashes(words: np.ndarray, size: int = FULL) -> np.ndarray:
+    """A hash per run of ``size`` words; of fewer words the whole sequence is one shingle."""
+    return run_hashes(words, min(len(words), size))
 
 
-def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
+def shingle_set(text: str | None, size: int = FULL) -> np.ndarray:
     """The sorted distinct shingles of a text."""
     return np.unique(shingle_hashes(word_hashes(text or "")[0], size))
