@@ -1,6 +1,7 @@
 """Helpers shared by the operators of this folder."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,15 +15,10 @@ def checkpointed(rows: DataFrame) -> DataFrame:
     """The same rows, computed once and kept in the shared folder of ``spark.checkpoint.dir``.
 
     They survive the loss of executors, and Spark removes them when nothing refers to them any
-    more (``spark.cleaner.referenceTracking.cleanCheckpoints``).  Only a session without that
-    folder, as in tests, gets one of its own.
+    more (``spark.cleaner.referenceTracking.cleanCheckpoints``).
     """
-    context = rows.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(
-            rows.sparkSession.conf.get("spark.checkpoint.dir", None)
-            or tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        )
+    if rows.sparkSession.sparkContext.getCheckpointDir() is None:
+        _set_checkpoint_folder(rows.sparkSession)
     return rows.checkpoint()
 
 
@@ -56,3 +52,19 @@ def group_totals(rows: DataFrame, key: str, salt: str, totals: dict[str, tuple])
         *(getattr(F, again[kind])(name).alias(name) for name, (kind, _) in totals.items())
     )
     return parts.select(key, salt).join(whole, F.col(key) == F.col("_key")).drop("_key")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below ``spark.checkpoint.dir``, for files that executors write and read."""
+    checkpoints = spark.sparkContext.getCheckpointDir()
+    if checkpoints is None:
+        _set_checkpoint_folder(spark)
+        checkpoints = spark.sparkContext.getCheckpointDir()
+    return f"{checkpoints}/{uuid.uuid4().hex}"
+
+
+def _set_checkpoint_folder(spark: SparkSession) -> None:
+    """The folder the session names; only one without that setting, as in tests, gets its own."""
+    spark.sparkContext.setCheckpointDir(
+        spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    )

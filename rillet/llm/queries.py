@@ -4,11 +4,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rillet.llm.arc import archive
+from rillet.llm.common import shared_folder
 from rillet.llm.decontaminate import leaks
 from rillet.llm.exact_dedup import exact_groups
 from rillet.llm.langid import identify, learn, training_texts
 from rillet.llm.mixing import mix_documents
 from rillet.llm.near_dedup import near_groups
+from rillet.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -103,3 +106,28 @@ def op8_near_dedup(spark, sf_dir):
 def op3_decontaminate(spark, sf_dir):
     """Documents that hold benchmark items, with the items."""
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    """
+WITH t AS (SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS hex FROM pages),
+bits AS (SELECT *, list_aggregate(list_transform(range(40), lambda i:
+    lpad(bin(strpos('0123456789abcdef', substr(hex, (i + 1)::BIGINT, 1)) - 1), 4, '0')), 'string_agg', '') AS b FROM t)
+SELECT page_id, octet_length(payload) AS payload_bytes,
+  list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (list_sum(list_transform(range(5), lambda j: substr(b, (i * 5 + j + 1)::BIGINT, 1)::INT * (16 >> j::INT))) + 1)::BIGINT, 1)),
+    'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = min(page_id) OVER g THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> min(page_id) OVER g THEN min(page_id) OVER g END AS refers_to
+FROM bits WINDOW g AS (PARTITION BY payload)
+"""
+)
+def op4_arc(spark, sf_dir):
+    """All pages written as ARC, converted to WARC and read back."""
+    return archive(table(spark, sf_dir, "pages"), shared_folder(spark)).drop("url", "date")
+
+
+@query()
+def op10_token_counts(spark, sf_dir):
+    """Tokens of every document, by line."""
+    return token_counts(table(spark, sf_dir, "documents"))
