@@ -25,7 +25,8 @@ from rillet.llm.shingles import run_hashes, word_hashes
 class Search:
     """percent: least similarity in percent.  radius, blocks: of the fingerprint search.
     items: items in one index, which bounds its size; more items make more passes.
-    stretch: words fingerprinted at a time, which bounds the memory for a long document."""
+    stretch: words fingerprinted at a time, which bounds the memory for a long document; none are across a gap
+        of more than ``gap`` words between windows."""
 
     percent: int = 75
     shingle: int = 5
@@ -33,6 +34,7 @@ class Search:
     blocks: int = 4
     items: int = 2000
     stretch: int = 8192
+    gap: int = 64
 
 
 def fingerprints(words: np.ndarray, width: int) -> np.ndarray:
@@ -136,8 +138,13 @@ class Index:
             width = min(size, self.search.shingle)
             if width not in known:
                 continue
+            # Of a window's and an item's shingles together so many must be common, so at least so
+            # many of the window's must be shingles of some item.
+            runs = size - width + 1
+            percent = self.search.percent
+            least = -(-percent * (runs + items.size - width + 1) // (100 + percent))
             before = np.concatenate([[0], np.cumsum(known[width])])
-            starts = np.flatnonzero(before[size - width + 1 :] - before[: len(before) - (size - width + 1)])
+            starts = np.flatnonzero(before[runs:] - before[:-runs] >= max(1, least))
             for part in self._stretches(starts):
                 prints = fingerprints(words[part[0] : part[-1] + size], size)[part - part[0]]
                 for window, item in zip(*items.within(prints), strict=True):
@@ -148,11 +155,11 @@ class Index:
         return [(self.ids[item], *found) for item, found in sorted(best.items())]
 
     def _stretches(self, starts: np.ndarray) -> list[np.ndarray]:
-        """The window starts in parts that each cover a bounded number of words."""
+        """The window starts in parts without long gaps that each cover a bounded number of words."""
         if not len(starts):
             return []
-        cuts = np.flatnonzero(np.diff(starts // self.search.stretch)) + 1
-        return np.split(starts, cuts)
+        apart = np.diff(starts) > self.search.gap
+        return np.split(starts, np.flatnonzero(apart | (np.diff(starts // self.search.stretch) > 0)) + 1)
 
 
 def _indexes(items: DataFrame, search: Search) -> list[Index]:

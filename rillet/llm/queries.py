@@ -8,6 +8,7 @@ from rillet.llm.arc import archive
 from rillet.llm.common import shared_folder
 from rillet.llm.decontaminate import leaks
 from rillet.llm.exact_dedup import exact_groups
+from rillet.llm.html_text import extract
 from rillet.llm.langid import identify, learn, training_texts
 from rillet.llm.mixing import mix_documents
 from rillet.llm.near_dedup import near_groups
@@ -131,3 +132,9 @@ def op4_arc(spark, sf_dir):
 def op10_token_counts(spark, sf_dir):
     """Tokens of every document, by line."""
     return token_counts(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_html_text(spark, sf_dir):
+    """The main text of every page."""
+    return extract(table(spark, sf_dir, "pages"))
