@@ -12,6 +12,7 @@ from rillet.llm.html_text import extract
 from rillet.llm.langid import identify, learn, training_texts
 from rillet.llm.mixing import mix_documents
 from rillet.llm.near_dedup import near_groups
+from rillet.llm.pii import personal_data
 from rillet.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +139,9 @@ def op10_token_counts(spark, sf_dir):
 def op9_html_text(spark, sf_dir):
     """The main text of every page."""
     return extract(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op5_pii(spark, sf_dir):
+    """Personal data in every document."""
+    return personal_data(table(spark, sf_dir, "documents"))
