@@ -13,6 +13,7 @@ from rillet.llm.langid import identify, learn, training_texts
 from rillet.llm.mixing import mix_documents
 from rillet.llm.near_dedup import near_groups
 from rillet.llm.pii import personal_data
+from rillet.llm.suffix_dedup import without_repeats
 from rillet.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +146,9 @@ def op9_html_text(spark, sf_dir):
 def op5_pii(spark, sf_dir):
     """Personal data in every document."""
     return personal_data(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_suffix_dedup(spark, sf_dir):
+    """Every document without the strings of 400 bytes that occur elsewhere."""
+    return without_repeats(table(spark, sf_dir, "documents")).drop("kept")
