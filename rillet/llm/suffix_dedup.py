@@ -231,7 +231,10 @@ def _by_counting(bodies: DataFrame, rule: Repeats) -> DataFrame:
 
 
 def _bodies(open_segments: DataFrame, texts: DataFrame) -> DataFrame:
-    """(head, one, two, after, left, right): the bytes of segments given by one of their places."""
+    """(head, one, two, after, left, right): the bytes of segments given by one of their places.
+
+    A row that repeats an id and text gives a segment twice; it then has copies anyway.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -250,7 +253,7 @@ def _bodies(open_segments: DataFrame, texts: DataFrame) -> DataFrame:
     part = F.struct("head", "one", "two", "before", "after", "place", "end")
     lists = open_segments.groupBy("doc_id", "copy").agg(F.collect_list(part).alias("parts"))
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("copy") == F.col("_copy"))
-    joined = texts.dropDuplicates(["doc_id", "copy"]).join(lists.withColumnsRenamed({"doc_id": "_doc", "copy": "_copy"}), same)
+    joined = texts.join(lists.withColumnsRenamed({"doc_id": "_doc", "copy": "_copy"}), same)
     return joined.select("text", "parts").mapInArrow(cut, "head long, one long, two long, after long, left binary, right binary")
 
 
@@ -271,8 +274,10 @@ def _repeated_spans(rows: DataFrame, rule: Repeats) -> tuple[DataFrame, DataFram
         "head", "one", "two", "variants", "at.*", (F.col("at.place") - F.col("at.after") + rule.length).alias("end")
     )
     large = F.col("variants") > rule.group
-    few, many = (_bodies(open_segments.filter(x), texts) for x in (~large, large))
-    shared = checkpointed(_by_sorting(few, rule).union(_by_counting(many, rule)))
+    shared = _by_sorting(_bodies(open_segments.filter(~large), texts), rule)
+    if not groups.filter(large).isEmpty():
+        shared = shared.union(_by_counting(_bodies(open_segments.filter(large), texts), rule))
+    shared = checkpointed(shared)
     whole = variants.filter("n > 1").select("head", "one", "two", F.col("at.after").alias("near"), F.col("at.before").alias("far"))
     spans = segments.join(whole.union(shared), ["head", "one", "two"]).select(
         "doc_id", "copy", (F.col("place") - F.col("far")).alias("start"), (F.col("place") - F.col("near") + rule.length).alias("end")
@@ -320,11 +325,10 @@ def without_repeats(docs: DataFrame, rule: Repeats = Repeats(), doc_id: str = "d
             )
 
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("copy") == F.col("_copy"))
-    # One text per id and copy: rows that repeat it get the same result below.
-    once = texts.dropDuplicates(["doc_id", "copy"]).join(lists.withColumnsRenamed({"doc_id": "_doc", "copy": "_copy"}), same)
+    once = texts.join(lists.withColumnsRenamed({"doc_id": "_doc", "copy": "_copy"}), same)
     cuts = once.select("doc_id", "copy", "text", "spans").mapInArrow(
         cut, "_doc long, _copy long, n_removed long, n_spans long, cut_sha256 string, kept binary"
-    )
+    ).dropDuplicates(["_doc", "_copy"])
     slim = rows.select("doc_id", "copy", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
     return slim.join(cuts, same, "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"),
