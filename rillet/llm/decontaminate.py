@@ -122,7 +122,8 @@ class Index:
         runs = run_hashes(words, width)
         found = self.maybe[runs >> np.uint64(44)]
         places = np.flatnonzero(found)
-        found[places] = np.isin(runs[places], self.known)
+        nearest = np.minimum(np.searchsorted(self.known, runs[places]), len(self.known) - 1)
+        found[places] = self.known[nearest] == runs[places]
         return found
 
     def matches(self, text: str) -> list[tuple]:
