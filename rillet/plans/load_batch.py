@@ -31,7 +31,8 @@ class LoadOptions:
     with_schema_version: bool = True
     processor: Processor = Processor()
     max_failed_event_bytes: int = 1_000_000
-    max_row_bytes: int | None = 16_000_000
+    #: Lines of more bytes become failed events; the table itself has no such limit.
+    max_row_bytes: int | None = None
     validators: Sequence[Validator] = ()
     #: Keep the transformed batch for the three reads that follow.  Right for micro-batches; turn
     #: it off to load a large stored table, which is then parsed once per read instead.
@@ -79,7 +80,8 @@ def load_batch(lines: DataFrame, options: LoadOptions, batch_id: int | None = No
     that the batch is loaded again.  Nothing is written if a row fails for a fatal reason.
     """
     spark = lines.sparkSession
-    now = options.now or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+    started = datetime.now(timezone.utc)
+    now = options.now or started.strftime("%Y-%m-%d %H:%M:%S.%f")
     rows = prepare_rows(lines, options, now)
     if options.persist:
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
@@ -99,11 +101,15 @@ def load_batch(lines: DataFrame, options: LoadOptions, batch_id: int | None = No
             append_rows(good, options.table)
         if report["bad"]:
             options.failed_events.write(failed_events(rows, options))
+        latency = report["e2e_latency_ms"]
+        if latency is not None and options.now is None:
+            # An event has arrived once its batch is written.
+            latency += int((datetime.now(timezone.utc) - started).total_seconds() * 1000)
         if options.metrics_table:
-            _append_metrics(spark, report, now, batch_id, options.metrics_table)
+            _append_metrics(spark, report, latency, now, batch_id, options.metrics_table)
         return BatchResult(
             report["n"], report["good"], report["bad"], report["bytes"],
-            report["latency_ms"], report["e2e_latency_ms"], added,
+            report["latency_ms"], latency, added,
         )
     finally:
         if options.persist:
@@ -139,8 +145,8 @@ def _writers(spark, n_bytes: int, options: LoadOptions) -> int:
     return max(1, min(by_size, parallelism(spark.sparkContext.defaultParallelism, options.upload_factor)))
 
 
-def _append_metrics(spark, report, now, batch_id, table: str) -> None:
-    row = [(now, batch_id, report["good"], report["bad"], report["bytes"], report["latency_ms"], report["e2e_latency_ms"])]
+def _append_metrics(spark, report, latency, now, batch_id, table: str) -> None:
+    row = [(now, batch_id, report["good"], report["bad"], report["bytes"], report["latency_ms"], latency)]
     frame = spark.createDataFrame(
         row, "t string, batch_id bigint, good bigint, bad bigint, bytes bigint, latency_ms bigint, e2e_latency_ms bigint"
     )
