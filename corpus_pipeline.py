@@ -46,7 +46,7 @@ STAGES = [
     ("decontaminate", decontaminate),
     ("mix", mix),
 ]
-#: SQL cannot express n-gram ranks, MinHash and SimHash. A brute-force test of run() is still missing.
+#: SQL cannot express n-gram ranks, MinHash and SimHash; tests/llm/test_pipeline.py holds run() against brute force.
 ORACLE_SQL = None
 
 

@@ -19,6 +19,8 @@ UNKNOWN = "und"
 SPACE = 32
 #: Bits that hold one code point.
 POINT = 21
+#: Two spaces, where one text ends and the next begins: no n-gram of either.
+BETWEEN_TEXTS = (SPACE << POINT) | SPACE
 #: Characters whose n-grams are counted at a time.
 SLICE = 1 << 21
 
@@ -52,7 +54,7 @@ def ngram_counts(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         pairs = (part[:-1] << POINT) | part[1:]
         triples = (pairs[:-1] << POINT) | part[2:]
         codes = np.concatenate(
-            [own[own != SPACE], pairs[:SLICE], triples[part[1:-1] != SPACE][:SLICE]]
+            [own[own != SPACE], pairs[:SLICE][pairs[:SLICE] != BETWEEN_TEXTS], triples[part[1:-1] != SPACE][:SLICE]]
         )
         found.append(np.unique(codes, return_counts=True))
     if len(found) == 1:
