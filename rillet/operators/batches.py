@@ -14,10 +14,11 @@ def running_start(rows: DataFrame, partition: str, order: str, measures: list[st
     an offset.  A partition may hold a third of all rows, so it is never one window: the order is
     cut into blocks of at most ``block`` rows, the totals of the blocks are summed up first, and
     the rows are summed inside their blocks.  The rows are read for both, so they are written once
-    before: pass a rollup or another small part of the lines.
+    before: pass a rollup or another small part of the lines.  A row without an order is an error.
     """
     keys = [partition, "block"]
-    blocked = materialise(rows).withColumn("block", F.floor(F.col(order) / block))
+    placed = F.coalesce(F.col(order), F.raise_error(F.lit(f"{order} is null: nothing orders these rows")).cast("long"))
+    blocked = materialise(rows).withColumn("block", F.floor(placed / block))
     totals = blocked.groupBy(*keys).agg(*[F.sum(m).alias(f"total_{m}") for m in measures])
     earlier_blocks = Window.partitionBy(partition).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -36,9 +37,11 @@ def chunk_rollup(rows: DataFrame, ok, chunk_records: int = DEFAULT_MAX_RECORDS_P
     """Counts, bytes and earliest time for each chunk of ``chunk_records`` offsets.
 
     ``n`` and ``bytes`` cover all rows, ``good`` the rows that are ``ok``, ``earliest`` the parsed
-    rows.  Rows are aggregated before the shuffle, and a busy partition has many chunks.
+    rows.  Rows are aggregated before the shuffle, and a busy partition has many chunks.  Lines
+    without offsets are one chunk of their partition.
     """
-    return rows.groupBy("src_partition", F.floor(F.col("src_id") / chunk_records).alias("chunk_id")).agg(
+    chunk = F.coalesce(F.floor(F.col("src_id") / chunk_records), F.lit(0).cast("long"))
+    return rows.groupBy("src_partition", chunk.alias("chunk_id")).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(ok).alias("good"),
         F.sum(F.octet_length("value")).alias("bytes"),

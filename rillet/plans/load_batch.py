@@ -14,7 +14,7 @@ from rillet.operators.metrics import metric_columns, parallelism
 from rillet.operators.parse import parse_lines
 from rillet.operators.transform import TRANSFORM_OK, entity_names, transform_events
 from rillet.operators.validate import Validator, row_validators, validate_rows
-from rillet.session import evaluate_once
+from rillet.session import configure, evaluate_once
 from rillet.sinks.failed_events import FailedEventSink
 from rillet.sinks.table import append_rows, evolve_table
 
@@ -79,7 +79,7 @@ def load_batch(lines: DataFrame, options: LoadOptions, batch_id: int | None = No
     Only after all of that does the caller acknowledge the input, so a fault at any step means
     that the batch is loaded again.  Nothing is written if a row fails for a fatal reason.
     """
-    spark = lines.sparkSession
+    spark = configure(lines.sparkSession)
     started = datetime.now(timezone.utc)
     now = options.now or started.strftime("%Y-%m-%d %H:%M:%S.%f")
     rows = prepare_rows(lines, options, now)
@@ -98,7 +98,7 @@ def load_batch(lines: DataFrame, options: LoadOptions, batch_id: int | None = No
             good = rows.filter("insertable")
             if options.persist:
                 good = good.coalesce(_writers(spark, report["bytes"], options))
-            append_rows(good, options.table)
+            append_rows(good, options.table, names)
         if report["bad"]:
             options.failed_events.write(failed_events(rows, options))
         latency = report["e2e_latency_ms"]

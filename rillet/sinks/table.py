@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from rillet.constants import ALERT_TEXTS, LOAD_COLUMN, UNRECOGNIZED_COLUMN_TEXT
-from rillet.operators.transform import entity_value
+from rillet.operators.transform import entity_columns, entity_value
 from rillet.schema import ATOMIC_NAMES, CONTEXTS_TYPE, UNSTRUCT_TYPE, events_schema
 
 log = logging.getLogger(__name__)
@@ -90,16 +90,24 @@ def table_row(columns) -> list[str]:
     ]
 
 
-def append_rows(rows: DataFrame, table: str, attempts: int = 3) -> None:
+def append_rows(rows: DataFrame, table: str, names=None, attempts: int = 3) -> None:
     """Append transformed rows; columns they do not fill become null.
 
-    If another writer altered the table in between, the plan no longer fits: the table is looked
-    up again and the same rows are written.
+    ``names`` are the entity columns of the rows, found by a pass over them if not given.  The table
+    gains those it lacks, so no entity is left out.  If another writer altered the table in between,
+    the plan no longer fits: the table is looked up again, gains what it lacks then, and the same
+    rows are written.
     """
     spark = rows.sparkSession
+    if names is None:
+        names = sorted(row["name"] for row in entity_columns(rows).collect())
     for attempt in range(1, attempts + 1):
         try:
-            wide = rows.selectExpr(*table_row(table_columns(spark, table)))
+            columns = table_columns(spark, table)
+            if not set(names) <= set(columns):
+                evolve_table(spark, table, names)
+                columns = table_columns(spark, table)
+            wide = rows.selectExpr(*table_row(columns))
             spark.sql(f"INSERT INTO {table} BY NAME SELECT * FROM {{rows}}", rows=wide)
             return
         except AnalysisException:

@@ -36,6 +36,8 @@ def kafka_options(
     options |= {f"kafka.{key}": value for key, value in consumer.items() if key not in _KAFKA_NOT_PASSED}
     if position == AT_TIME:
         options["startingTimestamp"] = _epoch_millis(timestamp)
+        # A partition without later records is read from its end instead of stopping the query.
+        options["startingOffsetsByTimestampStrategy"] = "latest"
     else:
         names = {OLDEST: "earliest", NEWEST: "latest", None: consumer.get("auto.offset.reset", "earliest")}
         options["startingOffsets"] = names[position]
@@ -76,7 +78,8 @@ KINESIS_COLUMNS = {
 }
 PUBSUB_COLUMNS = {
     "value": "payload",
-    "src_partition": "CAST(0 AS BIGINT)",
+    # The service has no partitions: messages are put together by the second in which they were published.
+    "src_partition": "CAST(publishTimestampInMillis AS BIGINT) DIV 1000",
     "src_id": "CAST(NULL AS BIGINT)",
     "src_ts": "CAST(timestamp_millis(publishTimestampInMillis) AS TIMESTAMP_NTZ)",
 }

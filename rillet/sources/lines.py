@@ -15,7 +15,8 @@ LINE_COLUMNS = ("src_partition", "src_id", "src_ts", "value")
 #: Where each kind of source keeps the line columns.
 FILE_COLUMNS = {
     "value": "value",
-    "src_partition": "xxhash64(_metadata.file_path)",
+    # Lines of a file have no offsets; the part of the file that is read by one task bounds a partition.
+    "src_partition": "xxhash64(_metadata.file_path, _metadata.file_block_start)",
     "src_id": "CAST(NULL AS BIGINT)",
     "src_ts": "CAST(_metadata.file_modification_time AS TIMESTAMP_NTZ)",
 }
