@@ -7,7 +7,11 @@ its line:
     k = 97  not a line of tab-separated fields
     k = 89  text in the integer field domain_sessionidx
     k = 83  contexts are cut-off JSON
-    k = 79  one context has no schema key
+    k = 79  one context has no schema key, another one's data is a string that starts with a brace
+    k = 73  a number of a context is beyond the range of a double
+    k = 71  text follows the JSON of the contexts
+
+The pages hold decimals that no double holds, and a repeated key whose last value is null.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +42,8 @@ K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT)"
 PAGES = "CASE event_type WHEN 'error' THEN 0 WHEN 'click' THEN 2 WHEN 'view' THEN 2 ELSE 1 END"
 NOW = "2024-12-31 00:00:00"
 CHUNK_RECORDS = 1000
+# Members whose digits a double would lose.
+EXACT = """concat(',"price":', CAST(event_id AS {text}), '2345678901234567.89,"ratio":0.1000000000000000055511151231257827')"""
 
 _CONTEXTS = '{"schema":"x:org.example.wrapper/contexts/jsonschema/1-0-0","data":['
 _UNSTRUCT = '{"schema":"x:org.example.wrapper/unstruct_event/jsonschema/1-0-0","data":'
@@ -57,9 +63,13 @@ def _fields(d: dict) -> dict:
         13: f"CAST(user_id AS {d['text']})",
         17: f"CASE WHEN {K} = 89 THEN 'abc' ELSE CAST(event_id % 20 AS {d['text']}) END",
         53: f"""CASE WHEN {K} = 83 THEN '{_CONTEXTS}{{'
-                 WHEN {K} = 79 THEN '{_CONTEXTS}{{"schema":"no key","data":{{}}}}]}}'
-                 WHEN {PAGES} = 1 THEN concat('{_CONTEXTS}{page}', CAST(event_id AS {d['text']}), ',"note":null}}}}]}}')
-                 WHEN {PAGES} = 2 THEN concat('{_CONTEXTS}{page}', CAST(event_id AS {d['text']}), ',"note":null}}}},{page}',
+                 WHEN {K} = 79 THEN '{_CONTEXTS}{{"schema":"no key","data":{{}}}},{{"schema":"x:com.acme/oops/jsonschema/1-0-0","data":"{{oops"}}]}}'
+                 WHEN {K} = 73 THEN '{_CONTEXTS}{{"schema":"x:com.acme/big/jsonschema/1-0-0","data":{{"n":-1.5e400,"t":"Infinity"}}}}]}}'
+                 WHEN {K} = 71 THEN '{_CONTEXTS}]}} trailing'
+                 WHEN {PAGES} = 1 THEN concat('{_CONTEXTS}{page}', CAST(event_id AS {d['text']}), ',"note":null',
+                   {EXACT.format(text=d['text'])}, ',"twice":1,"twice":null}}}}]}}')
+                 WHEN {PAGES} = 2 THEN concat('{_CONTEXTS}{page}', CAST(event_id AS {d['text']}), ',"note":null',
+                   {EXACT.format(text=d['text'])}, ',"twice":1,"twice":null}}}},{page}',
                    CAST(event_id + 1 AS {d['text']}), ',"note":"n"}}}}]}}')
                  ELSE '' END""",
         59: f"""concat('{_UNSTRUCT}{{"schema":"x:com.acme/', event_type, '/jsonschema/', CAST(1 + event_id % 2 AS {d['text']}),

@@ -58,16 +58,16 @@ def query(sql: str | None):
 
 
 _WITH = f"""WITH e AS (SELECT *, {fx.K} AS k, {fx.PAGES} AS n_pages, {fx.DUCKDB['millis']} AS millis, date_trunc('millisecond', ts) AS ms FROM events),
-parsed AS (SELECT * FROM e WHERE k NOT IN (83, 89, 97)),
-good AS (SELECT * FROM parsed WHERE k <> 79),
+parsed AS (SELECT * FROM e WHERE k NOT IN (71, 83, 89, 97)),
+good AS (SELECT * FROM parsed WHERE k NOT IN (73, 79)),
 lines AS ({fx.duckdb_table('lines')}),
 failures AS ({fx.duckdb_table('failures')}),
 errors AS ({fx.duckdb_table('errors')}),
 batch_metrics AS ({fx.duckdb_table('metrics')}),
 alerts AS ({fx.duckdb_table('alerts')}),
 chunks AS (SELECT src_partition, src_id // {fx.CHUNK_RECORDS} AS chunk_id, count(*) AS n,
-  CAST(sum(CASE WHEN k NOT IN (79, 83, 89, 97) THEN 1 ELSE 0 END) AS BIGINT) AS good,
-  CAST(sum(strlen(lines.value)) AS BIGINT) AS bytes, min(CASE WHEN k NOT IN (83, 89, 97) THEN ms END) AS earliest
+  CAST(sum(CASE WHEN k NOT IN (71, 73, 79, 83, 89, 97) THEN 1 ELSE 0 END) AS BIGINT) AS good,
+  CAST(sum(strlen(lines.value)) AS BIGINT) AS bytes, min(CASE WHEN k NOT IN (71, 83, 89, 97) THEN ms END) AS earliest
   FROM lines JOIN e ON src_id = event_id GROUP BY 1, 2),
 assigned AS (SELECT *, CAST(floor((sum(bytes) OVER (PARTITION BY src_partition ORDER BY chunk_id) - bytes) / {MAX_BATCH_BYTES}) AS BIGINT)
   AS batch_id FROM chunks)
@@ -133,7 +133,7 @@ def parse_events(spark, sf_dir):
 @query("""SELECT event_id AS src_id, CASE k WHEN 97 THEN 'NotTSV' ELSE 'RowDecodingError' END AS type,
 CASE k WHEN 97 THEN 1 ELSE 131 END AS field_count,
 CASE k WHEN 97 THEN '' WHEN 89 THEN 'domain_sessionidx is not a valid int' ELSE 'contexts is not valid self-describing JSON' END AS reasons
-FROM e WHERE k IN (83, 89, 97)""")
+FROM e WHERE k IN (71, 83, 89, 97)""")
 def parse_failures(spark, sf_dir):
     reasons = F.transform("parse_error.fields", lambda f: F.concat_ws(" ", f["field"], f["message"]))
     return (
@@ -165,12 +165,14 @@ def with_load_tstamp(spark, sf_dir):
     return _rows(spark, sf_dir).select("src_id", _text("load_tstamp"))
 
 
-@query("SELECT event_id AS src_id, 'not a schema key' AS message, 'no key' AS schema FROM parsed WHERE k = 79")
+@query("""SELECT event_id AS src_id, 'not a schema key' AS message, 'no key' AS schema FROM parsed WHERE k = 79
+UNION ALL SELECT event_id, 'entity data is not an object', 'x:com.acme/oops/jsonschema/1-0-0' FROM parsed WHERE k = 79
+UNION ALL SELECT event_id, 'a number is out of range', 'x:com.acme/big/jsonschema/1-0-0' FROM parsed WHERE k = 73""")
 def transform_failures(spark, sf_dir):
-    return _rows(spark, sf_dir).filter("parse_ok AND NOT transform_ok").select("src_id", "transform_error.*")
+    return _rows(spark, sf_dir).filter("parse_ok AND NOT transform_ok").selectExpr("src_id", "inline(transform_error)")
 
 
-@query("SELECT CASE WHEN k IN (79, 83, 89, 97) THEN 'bad' ELSE 'good' END AS side, count(*) AS n FROM e GROUP BY 1")
+@query("SELECT CASE WHEN k IN (71, 73, 79, 83, 89, 97) THEN 'bad' ELSE 'good' END AS side, count(*) AS n FROM e GROUP BY 1")
 def split_good_bad_rows(spark, sf_dir):
     good, bad = split_good_bad(_rows(spark, sf_dir), F.col("transform_ok"))
     sides = good.select(F.lit("good").alias("side")).unionAll(bad.select(F.lit("bad").alias("side")))
@@ -189,10 +191,13 @@ def unstruct_columns(spark, sf_dir):
     )
 
 
-@query("""SELECT event_id AS src_id, 'contexts_com_acme_web_page_1' AS name, CAST(n_pages AS BIGINT) AS entities,
-concat('[{"_schema_version":"1-0-0","id":', CAST(event_id AS VARCHAR), CASE n_pages WHEN 2
-  THEN concat('},{"_schema_version":"1-0-0","id":', CAST(event_id + 1 AS VARCHAR), ',"note":"n"}]') ELSE '}]' END) AS value FROM good WHERE n_pages > 0
-UNION ALL SELECT event_id, 'contexts_org_demo_session_ctx_2', 1, concat('[{"_schema_version":"2-0-1","s":', CAST(user_id AS VARCHAR), '}]')
+_EXACT = fx.EXACT.format(text="VARCHAR")
+
+
+@query(f"""SELECT event_id AS src_id, 'contexts_com_acme_web_page_1' AS name, CAST(n_pages AS BIGINT) AS entities,
+concat('[{{"_schema_version":"1-0-0","id":', CAST(event_id AS VARCHAR), {_EXACT}, CASE n_pages WHEN 2
+  THEN concat('}},{{"_schema_version":"1-0-0","id":', CAST(event_id + 1 AS VARCHAR), ',"note":"n"}}]') ELSE '}}]' END) AS value FROM good WHERE n_pages > 0
+UNION ALL SELECT event_id, 'contexts_org_demo_session_ctx_2', 1, concat('[{{"_schema_version":"2-0-1","s":', CAST(user_id AS VARCHAR), '}}]')
 FROM good WHERE n_pages = 2""")
 def context_columns(spark, sf_dir):
     exploded = _good(spark, sf_dir).select("src_id", F.explode_outer("contexts").alias("name", "value"))
@@ -210,9 +215,9 @@ def _wide_oracle(source: str) -> str:
                 f"""CASE WHEN event_type = '{kind}' AND 1 + event_id % 2 = {model}
                 THEN concat('{{"k":', CAST(k AS VARCHAR), '}}') ELSE '' END AS {name}"""
             )
-    columns.append("""CASE n_pages WHEN 0 THEN '' WHEN 1 THEN concat('[{"_schema_version":"1-0-0","id":', CAST(event_id AS VARCHAR), '}]')
-      ELSE concat('[{"_schema_version":"1-0-0","id":', CAST(event_id AS VARCHAR), '},{"_schema_version":"1-0-0","id":',
-      CAST(event_id + 1 AS VARCHAR), ',"note":"n"}]') END AS contexts_com_acme_web_page_1""")
+    columns.append(f"""CASE n_pages WHEN 0 THEN '' WHEN 1 THEN concat('[{{"_schema_version":"1-0-0","id":', CAST(event_id AS VARCHAR), {_EXACT}, '}}]')
+      ELSE concat('[{{"_schema_version":"1-0-0","id":', CAST(event_id AS VARCHAR), {_EXACT}, '}},{{"_schema_version":"1-0-0","id":',
+      CAST(event_id + 1 AS VARCHAR), ',"note":"n"}}]') END AS contexts_com_acme_web_page_1""")
     columns.append("""CASE n_pages WHEN 2 THEN concat('[{"_schema_version":"2-0-1","s":', CAST(user_id AS VARCHAR), '}]') ELSE '' END
       AS contexts_org_demo_session_ctx_2""")
     return f"""SELECT concat('00000000-0000-4000-8000-', lpad(CAST(event_id AS VARCHAR), 12, '0')) AS event_id, CAST(user_id AS VARCHAR) AS user_id,
@@ -376,12 +381,13 @@ def _bad_rows(spark, sf_dir):
 
 
 _BAD_SQL = """, unreadable AS (SELECT src_partition, src_id, lines.value AS payload,
-  CASE k WHEN 79 THEN 'loader_transform_error' ELSE 'loader_parsing_error' END AS kind,
-  CASE k WHEN 79 THEN '{"message":"not a schema key","schema":"no key"}' WHEN 97 THEN '{"type":"NotTSV","field_count":1}'
+  CASE WHEN k IN (73, 79) THEN 'loader_transform_error' ELSE 'loader_parsing_error' END AS kind,
+  CASE k WHEN 79 THEN '[{"message":"not a schema key","schema":"no key"},{"message":"entity data is not an object","schema":"x:com.acme/oops/jsonschema/1-0-0"}]'
+  WHEN 73 THEN '[{"message":"a number is out of range","schema":"x:com.acme/big/jsonschema/1-0-0"}]' WHEN 97 THEN '{"type":"NotTSV","field_count":1}'
   WHEN 89 THEN '{"type":"RowDecodingError","field_count":131,"fields":[{"field":"domain_sessionidx","value":"abc","message":"is not a valid int"}]}'
   ELSE concat('{"type":"RowDecodingError","field_count":131,"fields":[{"field":"contexts","value":', CAST(to_json(split_part(lines.value, chr(9), 53)) AS VARCHAR),
     ',"message":"is not valid self-describing JSON"}]}') END AS failure
-  FROM lines JOIN e ON src_id = event_id WHERE k IN (79, 83, 89, 97)),
+  FROM lines JOIN e ON src_id = event_id WHERE k IN (71, 73, 79, 83, 89, 97)),
 unwritable AS (SELECT src_partition, src_id, value AS payload, 'loader_runtime_error' AS kind, message AS failure
   FROM lines JOIN failures ON batch_id = src_partition AND row_index = src_id WHERE len(extra_cols) = 0 AND error_code <> 'INTERNAL_ERROR'),
 bad AS (SELECT src_partition, src_id, kind, 'rillet' AS processor_name, '0.1.0' AS processor_version, failure, payload,
@@ -469,8 +475,8 @@ def _good_bad_counts(spark, sf_dir):
 
 
 _good_bad_counts.__name__ = "good_bad_counts"
-query("""SELECT count(*) AS n, CAST(count(*) FILTER (k NOT IN (79, 83, 89, 97)) AS BIGINT) AS good,
-CAST(count(*) FILTER (k IN (79, 83, 89, 97)) AS BIGINT) AS bad FROM e""")(_good_bad_counts)
+query("""SELECT count(*) AS n, CAST(count(*) FILTER (k NOT IN (71, 73, 79, 83, 89, 97)) AS BIGINT) AS good,
+CAST(count(*) FILTER (k IN (71, 73, 79, 83, 89, 97)) AS BIGINT) AS bad FROM e""")(_good_bad_counts)
 
 
 @query(f"SELECT event_id AS src_id, epoch_ms(TIMESTAMP '{fx.NOW}') - epoch_ms(ms) AS e2e_latency_ms FROM parsed")
@@ -650,9 +656,9 @@ def _load_batch(spark, sf_dir):
 
 
 _load_batch.__name__ = "load_batch"
-query(f"""SELECT CASE k WHEN 79 THEN 'loader_transform_error' ELSE 'loader_parsing_error' END AS item, count(*) AS n FROM e WHERE k IN (79, 83, 89, 97) GROUP BY 1
+query(f"""SELECT CASE WHEN k IN (73, 79) THEN 'loader_transform_error' ELSE 'loader_parsing_error' END AS item, count(*) AS n FROM e WHERE k IN (71, 73, 79, 83, 89, 97) GROUP BY 1
 UNION ALL SELECT 'table', count(*) FROM good UNION ALL SELECT 'good', count(*) FROM good
-UNION ALL SELECT 'bad', count(*) FROM e WHERE k IN (79, 83, 89, 97)
+UNION ALL SELECT 'bad', count(*) FROM e WHERE k IN (71, 73, 79, 83, 89, 97)
 UNION ALL SELECT 'bytes', CAST(sum(strlen(value)) AS BIGINT) FROM lines
 UNION ALL SELECT 'e2e', epoch_ms(TIMESTAMP '{fx.NOW}') - epoch_ms(min(ms)) FROM parsed
 UNION ALL SELECT 'latency', epoch_ms(TIMESTAMP '{fx.NOW}') - epoch_ms(min(ms)) FROM e

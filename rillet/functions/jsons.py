@@ -6,11 +6,13 @@ The rules:
 
 * a member whose value is null is removed, at every depth; null elements of arrays stay;
 * a number is written without an exponent and without trailing fraction zeros, digit by digit
-  exact (``1e3`` and ``1000.0`` become ``1000``), so that no digit is lost to a double;
+  exact (``1e3`` and ``1000.0`` become ``1000``), so that no digit is lost to a double.  A number
+  whose plain form has more digits than a VARIANT holds exactly is left as it is written;
 * everything else is left as it is.
 
 Each rule is one pass of regular expressions that step over whole JSON strings, so text inside
-strings is never touched.  Both passes are skipped for texts that cannot need them.
+strings is never touched.  The rules see the text as it stands: of a key that an object repeats,
+each mention counts, so repeated keys are resolved before (`rillet.operators.parse`).  Both passes are skipped for texts that cannot need them.
 """
 # A JSON string. Possessive, so long strings need no backtracking and no stack.
 _STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
@@ -29,8 +31,12 @@ _NOT_PLAIN = r"(?:\A|[\[:,\s])-?[0-9]++(?:\.|[eE])"
 _NOT_PLAIN_NUMBER = r"\A-?[0-9]+[.eE]"
 _NUMBER_PARTS = r"\A(-?)([0-9]+)(?:\.([0-9]+))?(?:[eE]([+-]?[0-9]+))?\z"
 _BLANKS = r"' \t\r\n'"
-# Longer exponents are left as they are: the plain form would not fit a row.
-_MAX_EXPONENT_LENGTH = 5
+# What a number must contain that Spark would read as a double although a plain form is exact.
+_MAYBE_INEXACT = r"[0-9][eE]|[0-9.]{39}"
+# Digits that a VARIANT holds exactly.
+_EXACT_DIGITS = 38
+# What a number beyond the range of a double must contain: a large exponent or very many digits.
+_MAYBE_INFINITE = r"[eE]\+?0*[1-9][0-9]{2}|[0-9]{200}"
 
 
 def bind(value: str, name: str, use: str) -> str:
@@ -47,24 +53,26 @@ def drop_null_members(json: str) -> str:
 
 
 def plain_number(token: str) -> str:
-    """A JSON number without exponent and without trailing fraction zeros, exact to the digit."""
+    """A JSON number without exponent and without trailing fraction zeros, exact to the digit.
+
+    Left as written if that takes more than the 38 digits that a VARIANT holds exactly.
+    """
 
     def part(group: int) -> str:
         return f"regexp_extract({token}, r'{_NUMBER_PARTS}', {group})"
 
     parts = f"struct({part(1)} AS sign, {part(2)} AS whole, {part(3)} AS fraction, {part(4)} AS exponent)"
-    # The digits, and where the decimal point goes, counted from their left end.
-    placed = """struct(p.sign AS sign, concat(p.whole, p.fraction) AS digits,
-        length(p.whole) + coalesce(try_cast(p.exponent AS INT), 0) AS point)"""
-    padded = """struct(d.sign AS sign, greatest(d.point, 0) AS point,
-        concat(repeat('0', -d.point), d.digits, repeat('0', d.point - length(d.digits))) AS digits)"""
-    stripped = """struct(d.sign AS sign, ltrim('0', substring(d.digits, 1, d.point)) AS whole,
-        rtrim('0', substring(d.digits, d.point + 1)) AS fraction)"""
-    magnitude = """concat(CASE WHEN n.whole = '' THEN '0' ELSE n.whole END,
-        CASE WHEN n.fraction = '' THEN '' ELSE '.' END, n.fraction)"""
-    signed = f"CASE WHEN n.whole = '' AND n.fraction = '' THEN '0' ELSE concat(n.sign, {magnitude}) END"
-    written = bind(bind(bind(placed, "d", padded), "d", stripped), "n", signed)
-    return bind(parts, "p", f"CASE WHEN length(p.exponent) > {_MAX_EXPONENT_LENGTH} THEN {token} ELSE {written} END")
+    # The digits, and where the decimal point goes, counted from their left end; null for an exponent beyond INT.
+    placed = """struct(p.sign AS sign, concat(p.whole, p.fraction) AS digits, length(p.whole)
+        + CAST(CASE WHEN p.exponent = '' THEN 0 ELSE try_cast(p.exponent AS INT) END AS BIGINT) AS point)"""
+    stripped = """struct(d.sign AS sign, trim('0', d.digits) AS digits,
+        d.point - length(d.digits) + length(ltrim('0', d.digits)) AS point)"""
+    written = f"""CASE WHEN n.digits = '' THEN '0'
+        WHEN coalesce(greatest(n.point, 0) + greatest(length(n.digits) - n.point, 0) > {_EXACT_DIGITS}, true) THEN {token}
+        WHEN n.point <= 0 THEN concat(n.sign, '0.', repeat('0', CAST(-n.point AS INT)), n.digits)
+        WHEN n.point >= length(n.digits) THEN concat(n.sign, rpad(n.digits, CAST(n.point AS INT), '0'))
+        ELSE concat(n.sign, substring(n.digits, 1, CAST(n.point AS INT)), '.', substring(n.digits, CAST(n.point AS INT) + 1)) END"""
+    return bind(parts, "p", bind(bind(placed, "d", stripped), "n", written))
 
 
 def plain_numbers(json: str) -> str:
@@ -74,6 +82,22 @@ def plain_numbers(json: str) -> str:
     return f"CASE WHEN {json} RLIKE r'{_NOT_PLAIN}' THEN {rewritten} ELSE {json} END"
 
 
+def exact_numbers(json: str) -> str:
+    """Write those numbers in plain form that Spark would otherwise read as doubles."""
+    return f"CASE WHEN {json} RLIKE r'{_MAYBE_INEXACT}' THEN {plain_numbers(json)} ELSE {json} END"
+
+
+def mark_infinite(json: str, marker: str) -> str:
+    """Put the string ``marker`` in place of each number beyond the range of a double.
+
+    Spark would read such a number as the text "Infinity", which a string may hold as well.
+    """
+    infinite = f"t RLIKE r'\\A-?[0-9]' AND abs(try_cast(t AS DOUBLE)) = double('Infinity')"
+    marked = f"""array_join(transform(regexp_extract_all({json}, r'{_TOKENS}', 0),
+        t -> CASE WHEN {infinite} THEN concat('"', {marker}, '"') ELSE t END), '')"""
+    return f"CASE WHEN {json} RLIKE r'{_MAYBE_INFINITE}' THEN {marked} ELSE {json} END"
+
+
 def canonical_json(json: str) -> str:
     """Both rules together."""
     return bind(drop_null_members(json), "j", plain_numbers("j"))

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rillet.constants import JSON_FIELDS, LINE_FIELD_COUNT, NOT_NULL_COLUMNS
 from rillet.functions.casts import typed_value, uuid_value
+from rillet.functions.jsons import bind, exact_numbers, mark_infinite
 from rillet.schema import ATOMIC_FIELDS, LINE_POSITIONS
 from rillet.session import evaluate_once
 
@@ -12,12 +13,8 @@ EVENT_ENTITY, CONTEXT_ENTITIES = "event_entity", "context_entities"
 PARSE_OK, PARSE_ERROR = "parse_ok", "parse_error"
 
 # The data of an entity stays text here: it is cleaned and parsed only when it is kept.
-_ENTITY = "struct<schema:string,data:string>"
-_JSON_FORMS = {
-    "contexts": f"struct<data:array<{_ENTITY}>>",
-    "unstruct_event": f"struct<data:{_ENTITY}>",
-    "derived_contexts": f"struct<data:array<{_ENTITY}>>",
-}
+_ENTITY = "struct<schema:string,data:string,in_range:boolean>"
+_FORM = "struct<schema:string,data:variant>"
 
 
 def _text(name: str) -> str:
@@ -25,12 +22,39 @@ def _text(name: str) -> str:
     return f"get(fields, {LINE_POSITIONS[name]})"
 
 
+def _entities(name: str) -> str:
+    """The entity of a JSON field, or the array of its entities; null unless the field is self-describing JSON.
+
+    ``in_range`` of an entity is false if a number of its data fits no double.
+
+    Numbers with exponents are written in plain form before Spark reads them, so a VARIANT keeps all
+    digits; of a repeated key the last value counts.  Spark's parser ignores what follows the first value:
+    the field is read as an array that ends with a hash of the field, which must then be second.
+    """
+    marker = "concat('out of range ', xxhash64(f))"
+    entity = bind(
+        "to_json(e.data)",
+        "data",
+        f"named_struct('schema', e.schema, 'data', data, 'in_range', NOT coalesce(contains(data, {marker}), false))",
+    )
+    if name == "unstruct_event":
+        form, entities = _FORM, f"CASE WHEN w.data IS NOT NULL THEN {bind('w.data', 'e', entity)} END"
+    else:
+        form, entities = f"array<{_FORM}>", f"transform(w.data, e -> {entity})"
+    wrapper = f"try_variant_get(v, '$[0]', 'struct<schema:string,data:{form}>')"
+    checked = f"""CASE WHEN try_variant_get(v, '$[1]', 'bigint') = xxhash64(f) THEN
+        {bind(wrapper, "w", f"CASE WHEN w.schema IS NOT NULL THEN {entities} END")} END"""
+    parsed = bind("try_parse_json(concat('[', j, ',', xxhash64(f), ']'))", "v", checked)
+    exact = bind(mark_infinite("f", marker), "i", bind(exact_numbers("i"), "j", parsed))
+    return f"CASE WHEN {_text(name)} IS NOT NULL THEN {bind(_text(name), 'f', exact)} END"
+
+
 def _typed_columns():
     for name, sql_type in ATOMIC_FIELDS:
         value = uuid_value(_text(name)) if name == "event_id" else typed_value(_text(name), sql_type)
         yield f"{value} AS {name}"
     for name in JSON_FIELDS:
-        yield f"from_json({_text(name)}, '{_JSON_FORMS[name]}').data AS {name}"
+        yield f"{_entities(name)} AS {name}"
 
 
 def _checks():
@@ -49,7 +73,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     """Parse the ``value`` column of each line; every row is kept.
 
     Adds the 128 atomic columns, ``event_entity`` (schema and JSON text of the self-describing
-    event), ``context_entities`` (the same for all contexts), ``parse_ok`` and, for a line that
+    event, and whether a VARIANT can hold its numbers), ``context_entities`` (the same for all contexts), ``parse_ok`` and, for a line that
     cannot be parsed, ``parse_error`` with the reason.  No shuffle, no Python.
     """
     checks = list(_checks())

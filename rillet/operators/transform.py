@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rillet.constants import CONTEXTS_PREFIX, LOAD_COLUMN, SCHEMA_VERSION_KEY, UNSTRUCT_PREFIX
 from rillet.functions.entities import column_of_valid_key, is_schema_key, is_skipped, schema_version
-from rillet.functions.jsons import canonical_json, is_json_object, with_member
+from rillet.functions.jsons import drop_null_members, is_json_object, with_member
 from rillet.operators.parse import CONTEXT_ENTITIES, EVENT_ENTITY, PARSE_OK
 from rillet.schema import ATOMIC_NAMES
 from rillet.session import evaluate_once
@@ -29,11 +29,11 @@ def skip_schemas(parsed: DataFrame, criteria) -> DataFrame:
 
 
 def _usable(entity: str) -> str:
-    return f"({is_schema_key(entity + '.schema')} AND {is_json_object(entity + '.data')})"
+    return f"({is_schema_key(entity + '.schema')} AND {is_json_object(entity + '.data')} AND {entity}.in_range)"
 
 
 def _value(entity: str, with_schema_version: bool) -> str:
-    json = canonical_json(f"{entity}.data")
+    json = drop_null_members(f"{entity}.data")
     if with_schema_version:
         json = with_member(json, SCHEMA_VERSION_KEY, schema_version(f"{entity}.schema"))
     return f"try_parse_json({json})"
@@ -47,7 +47,7 @@ def transform_events(
     Adds ``load_tstamp`` (one value for all rows), ``unstruct_name`` and ``unstruct_value`` (column
     and object of the self-describing event), ``contexts`` (map from column to array of objects),
     ``context_names`` (the keys of that map), ``transform_ok`` and ``transform_error`` (reason and
-    schema of an unusable entity).  Lines that were not parsed pass through with null entities and
+    schema of each unusable entity).  Lines that were not parsed pass through with null entities and
     ``transform_ok`` false.
 
     The contexts of an event are grouped inside its row: no explode, no shuffle.
@@ -56,9 +56,10 @@ def transform_events(
     all_usable = f"""{PARSE_OK} AND ({event} IS NULL OR {_usable(event)})
         AND coalesce(forall({contexts}, e -> {_usable('e')}), true)"""
     entities = f"array_append(coalesce({contexts}, array()), {event})"
-    unusable = f"get(filter({entities}, e -> e IS NOT NULL AND NOT {_usable('e')}), 0)"
-    error = f"""get(transform(array({unusable}), e -> struct(CASE WHEN {is_schema_key('e.schema')}
-        THEN 'entity data is not an object' ELSE 'not a schema key' END AS message, e.schema AS schema)), 0)"""
+    error = f"""transform(filter({entities}, e -> e IS NOT NULL AND NOT {_usable('e')}), e -> struct(
+        CASE WHEN NOT {is_schema_key('e.schema')} THEN 'not a schema key'
+            WHEN NOT {is_json_object('e.data')} THEN 'entity data is not an object'
+            ELSE 'a number is out of range' END AS message, e.schema AS schema))"""
     columns = f"transform({contexts}, e -> {column_of_valid_key('e.schema', CONTEXTS_PREFIX)})"
     values = f"transform({contexts}, e -> {_value('e', with_schema_version)})"
     # Most events carry one type of context, or each type once.

@@ -11,7 +11,8 @@ from rillet.functions.jsons import canonical_json, drop_null_members, is_json_ob
 TEXTS = st.text(alphabet='ab"\\{}[]:, null1e3\t\né ', max_size=12)
 NUMBERS = st.sampled_from(
     ["0", "-0", "7", "-12", "1.0", "1.50", "-0.00", "1e3", "1E+2", "-2.5e-3", "120e-1", "0.0e5", "12e-30", "1.5e20",
-     "12345678901234567890123456789012345678901", "0.1000000000000000055511151231257827", "1e99999999"]
+     "12345678901234567890123456789012345678901", "0.1000000000000000055511151231257827", "1e99999999",
+     "1e+99999", "1e0000003", "1e99999999999999999999", "0e99999999999", "1e37", "1e38", "9.5e-37", "9.5e-38", "10000e-41", "1.00e-38"]
 )
 
 
@@ -46,7 +47,11 @@ def without_nulls(value):
 
 def plain(number):
     value = Decimal(number)
-    if not any(c in number for c in ".eE") or abs(value.adjusted()) > 9999:
+    if not any(c in number for c in ".eE"):
+        return number
+    digits = value.normalize().as_tuple()
+    point = len(digits.digits) + digits.exponent
+    if value and max(point, 0) + max(-digits.exponent, 0) > 38:
         return number
     text = format(value, "f")
     text = text.rstrip("0").rstrip(".") if "." in text else text
