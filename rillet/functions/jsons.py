@@ -68,7 +68,7 @@ def plain_number(token: str) -> str:
     stripped = """struct(d.sign AS sign, trim('0', d.digits) AS digits,
         d.point - length(d.digits) + length(ltrim('0', d.digits)) AS point)"""
     written = f"""CASE WHEN n.digits = '' THEN '0'
-        WHEN coalesce(greatest(n.point, 0) + greatest(length(n.digits) - n.point, 0) > {_EXACT_DIGITS}, true) THEN {token}
+        WHEN n.point IS NULL OR greatest(n.point, 0) + greatest(length(n.digits) - n.point, 0) > {_EXACT_DIGITS} THEN {token}
         WHEN n.point <= 0 THEN concat(n.sign, '0.', repeat('0', CAST(-n.point AS INT)), n.digits)
         WHEN n.point >= length(n.digits) THEN concat(n.sign, rpad(n.digits, CAST(n.point AS INT), '0'))
         ELSE concat(n.sign, substring(n.digits, 1, CAST(n.point AS INT)), '.', substring(n.digits, CAST(n.point AS INT) + 1)) END"""

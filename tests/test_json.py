@@ -46,14 +46,18 @@ def without_nulls(value):
 
 
 def plain(number):
-    value = Decimal(number)
     if not any(c in number for c in ".eE"):
         return number
-    digits = value.normalize().as_tuple()
-    point = len(digits.digits) + digits.exponent
-    if value and max(point, 0) + max(-digits.exponent, 0) > 38:
+    mantissa, _, exponent = number.lstrip("-").lower().partition("e")
+    whole, _, fraction = mantissa.partition(".")
+    digits = (whole + fraction).lstrip("0")
+    if not digits:
+        return "0"
+    point = len(digits) - len(fraction) + int(exponent or 0)
+    digits = digits.rstrip("0")
+    if max(point, 0) + max(len(digits) - point, 0) > 38:
         return number
-    text = format(value, "f")
+    text = format(Decimal(number), "f")
     text = text.rstrip("0").rstrip(".") if "." in text else text
     return "0" if text == "-0" else text
 

@@ -114,10 +114,15 @@ def test_unusable_entities(spark):
         (("x:com.acme/page/jsonschema/1-0", "{}"), "not a schema key"),
         (("x:com.acme/page/jsonschema/1-0-0", '"text"'), "entity data is not an object"),
         (("x:com.acme/page/jsonschema/1-0-0", "null"), "entity data is not an object"),
+        (("x:com.acme/page/jsonschema/1-0-0", '"{oops"'), "entity data is not an object"),
+        (("x:com.acme/page/jsonschema/1-0-0", '{"n":[1e400]}'), "a number is out of range"),
     ]:
-        row = transformed(spark, contexts=contexts(("x:a/b/jsonschema/1-0-0", "{}"), entity)).first()
+        good = ("x:com.acme/b/jsonschema/1-0-0", '{"t":"Infinity"}')
+        row = transformed(spark, contexts=contexts(good, entity, ("x:a/b/jsonschema/1-0-0", "{}"))).first()
         assert row["parse_ok"] and not row["transform_ok"]
-        assert (row["transform_error"]["message"], row["transform_error"]["schema"]) == (message, entity[0])
+        assert [tuple(error) for error in row["transform_error"]] == [
+            (message, entity[0]), ("not a schema key", "x:a/b/jsonschema/1-0-0")
+        ]
         assert row["unstruct_name"] is None and row["contexts"] is None
 
 
