@@ -118,10 +118,10 @@ def test_unusable_entities(spark):
         (("x:com.acme/page/jsonschema/1-0-0", '{"n":[1e400]}'), "a number is out of range"),
     ]:
         good = ("x:com.acme/b/jsonschema/1-0-0", '{"t":"Infinity"}')
-        row = transformed(spark, contexts=contexts(good, entity, ("x:a/b/jsonschema/1-0-0", "{}"))).first()
+        row = transformed(spark, contexts=contexts(good, entity, ("no key", "{}"))).first()
         assert row["parse_ok"] and not row["transform_ok"]
         assert [tuple(error) for error in row["transform_error"]] == [
-            (message, entity[0]), ("not a schema key", "x:a/b/jsonschema/1-0-0")
+            (message, entity[0]), ("not a schema key", "no key")
         ]
         assert row["unstruct_name"] is None and row["contexts"] is None
 
