@@ -19,7 +19,7 @@ def errors(row):
     return [(e["field"], e["value"], e["message"]) for e in row["parse_error"]["fields"]]
 
 
-def test_layout():
+def test_layout(spark):
     assert len(ATOMIC_FIELDS) == 128
     assert len(LINE_POSITIONS) == 131
     assert [LINE_POSITIONS[n] for n in ("contexts", "unstruct_event", "derived_contexts", "true_tstamp")] == [52, 58, 122, 130]
