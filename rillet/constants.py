@@ -213,7 +213,6 @@ METRIC_E2E_LATENCY = "e2e_latency_millis"
 DEFAULT_TABLE = "events"
 DEFAULT_MAX_BATCH_BYTES = 16_000_000
 DEFAULT_MAX_BATCH_DELAY = "1 second"
-DEFAULT_UPLOAD_FACTOR = "2.5"
 DEFAULT_CPU_FACTOR = "0.75"
 DEFAULT_UNHEALTHY_LATENCY_MS = 300_000
 DEFAULT_METRICS_PERIOD = "1 minute"

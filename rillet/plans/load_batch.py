@@ -7,10 +7,10 @@ from datetime import datetime, timezone
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
-from rillet.constants import DEFAULT_MAX_BATCH_BYTES, DEFAULT_UPLOAD_FACTOR
+from rillet.constants import DEFAULT_MAX_BATCH_BYTES
 from rillet.functions.errors import is_data_issue
 from rillet.operators.bad_rows import Processor, limit_size, rejected_events
-from rillet.operators.metrics import metric_columns, parallelism
+from rillet.operators.metrics import metric_columns
 from rillet.operators.parse import parse_lines
 from rillet.operators.transform import TRANSFORM_OK, entity_names, transform_events
 from rillet.operators.validate import Validator, row_validators, validate_rows
@@ -39,7 +39,6 @@ class LoadOptions:
     persist: bool = True
     #: Input bytes per writer, as in a batch of one writer; only used for a persisted batch.
     bytes_per_writer: int = DEFAULT_MAX_BATCH_BYTES
-    upload_factor: str = DEFAULT_UPLOAD_FACTOR
     source_time: str | None = None
     metrics_table: str | None = None
     #: Clock for load times and latencies, as a UTC time text; the real time by default.
@@ -97,7 +96,7 @@ def load_batch(lines: DataFrame, options: LoadOptions, batch_id: int | None = No
             added = evolve_table(spark, options.table, names)
             good = rows.filter("insertable")
             if options.persist:
-                good = good.coalesce(_writers(spark, report["bytes"], options))
+                good = good.coalesce(_writers(report["bytes"], options))
             append_rows(good, options.table, names)
         if report["bad"]:
             options.failed_events.write(failed_events(rows, options))
@@ -140,9 +139,8 @@ def _survey(rows: DataFrame, options: LoadOptions, now: str):
     return by_name.pop("", None), sorted(by_name)
 
 
-def _writers(spark, n_bytes: int, options: LoadOptions) -> int:
-    by_size = -(-n_bytes // options.bytes_per_writer)
-    return max(1, min(by_size, parallelism(spark.sparkContext.defaultParallelism, options.upload_factor)))
+def _writers(n_bytes: int, options: LoadOptions) -> int:
+    return max(1, -(-n_bytes // options.bytes_per_writer))
 
 
 def _append_metrics(spark, report, latency, now, batch_id, table: str) -> None:
