@@ -3,9 +3,9 @@
 Every distinct shingle set gets one MinHash signature.  A tree of the forest is the list of all
 signatures sorted by one order of their values; a document's candidates are its neighbours in the
 sorted lists that agree with it in the first values.  In a sparse region all documents with that common
-prefix are neighbours; in a dense one only those with the longest common prefixes are, so the depth
-adapts to the region, and the work stays in proportion to the documents.  Candidates are confirmed on their full
-sets, and documents that links connect form a group.
+prefix are neighbours.  In a dense one, a crowd, the nearest are looked at first; documents of a crowd that
+are then in several groups are joined by their rarest shingles, which finds all their links.  Candidates are
+confirmed on their full sets, and documents that links connect form a group.
 """
 
 from collections.abc import Iterator
@@ -35,9 +35,6 @@ class Forest:
     reach: neighbours looked at in each direction of a list.
     first_trees, first_reach: lists and neighbours of the first round, which joins most of a dense
         region into groups, so that the second need not look at its pairs.
-    dense_prefix: values that a candidate must share where more entries than ``reach`` share ``prefix``
-        values.  A pair at 75 percent there is missed by all lists with probability 2e-4, if
-        no more than ``reach`` entries share as many values as the pair does.
     """
 
     percent: int = 75
@@ -48,7 +45,6 @@ class Forest:
     reach: int = 8
     first_trees: int = 8
     first_reach: int = 2
-    dense_prefix: int = 5
 
     @property
     def values(self) -> int:
@@ -59,6 +55,10 @@ class Forest:
 BLOCK = 512
 #: Share of equal values under which a candidate is dropped unread: 4 standard errors (128 values) below 0.75.
 SLACK = 0.15
+#: Counters for the shingles of crowds: the order of the shingles only has to be about that of their numbers.
+COUNTERS = 1 << 20
+#: Documents with a common shingle that are compared in one piece, and pairs compared at a time.
+PIECE, PAIRS = 4096, 1 << 21
 
 
 @lru_cache
@@ -130,44 +130,54 @@ class _Neighbours:
     Only pairs with different labels: others are known to be in one group.
     """
 
-    def __init__(self, forest: Forest, reach: int):
+    def __init__(self, forest: Forest, reach: int, crowds: bool):
         self.forest = forest
         self.reach = reach
-        self.widths = [2 + 2 * depth for depth in (forest.prefix, forest.dense_prefix)]
+        self.crowds = crowds
+        self.width = 2 + 2 * forest.prefix
 
     def pairs(self, keys, ids, sizes, labels, old: int, parts=None):
         """(a, b) of the pairs whose second entry lies at ``old`` or after it.
 
         With ``parts`` only pairs of entries of different parts.
         """
-        run, deep = (
-            np.concatenate([[0], np.cumsum((keys[1:, :width] != keys[:-1, :width]).any(axis=1))])
-            for width in self.widths
-        )
-        # Whether the run goes on for ``reach`` entries from here.
-        dense = np.zeros(len(ids), bool)
-        dense[: -self.reach] = run[: -self.reach] == run[self.reach :]
+        run = np.concatenate([[0], np.cumsum((keys[1:, : self.width] != keys[:-1, : self.width]).any(axis=1))])
         found = []
         for apart in range(1, min(self.reach, len(ids) - 1) + 1):
             first = slice(max(0, old - apart), len(ids) - apart)
             second = slice(max(0, old - apart) + apart, len(ids))
             small, large = np.minimum(sizes[first], sizes[second]), np.maximum(sizes[first], sizes[second])
-            close = np.where(dense[first], deep[first] == deep[second], run[first] == run[second])
-            good = close & (labels[first] != labels[second]) & (100 * small >= self.forest.percent * large)
+            good = (run[first] == run[second]) & (labels[first] != labels[second]) & (100 * small >= self.forest.percent * large)
             if parts is not None:
                 good &= parts[first] != parts[second]
             a, b = ids[first][good], ids[second][good]
             found.append((np.minimum(a, b), np.maximum(a, b)))
         return [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.empty(0, np.int64)] * 2
 
+    def crowded(self, keys, old: int, parts=None):
+        """The places of entries whose run goes on for more than ``reach`` entries before or after them.
+
+        Both ends of every pair of a run that ``pairs`` does not look at are among them.
+        """
+        apart = self.reach + 1
+        if not self.crowds or len(keys) <= apart:
+            return np.empty(0, np.int64)
+        first = np.arange(max(0, old - apart), len(keys) - apart)
+        same = (keys[first, : self.width] == keys[first + apart, : self.width]).all(axis=1)
+        if parts is not None:
+            same &= parts[first] != parts[first + apart]
+        return np.unique(np.concatenate([first[same], first[same] + apart]))
+
 
-def _candidates(entries: DataFrame, forest: Forest, reach: int) -> DataFrame:
-    """(a, b): neighbours in the sorted lists.
+def _candidates(entries: DataFrame, forest: Forest, reach: int, crowds: bool) -> tuple[DataFrame, DataFrame]:
+    """(a, b): neighbours in the sorted lists; (run, id, label): entries that have more than these in their run,
+    if ``crowds`` asks for them.
 
     The lists are dealt out by ranges, which splits a region of any density.  Neighbours across the
     border of two parts come from a second step over the first and last entries of all parts.
     """
-    near = _Neighbours(forest, reach)
+    edge_size = reach + 1
+    near = _Neighbours(forest, reach, crowds)
     width = 2 + 2 * forest.depth
     numbers = ["id", "n", "label"]
 
@@ -175,19 +185,21 @@ def _candidates(entries: DataFrame, forest: Forest, reach: int) -> DataFrame:
         keys = np.frombuffer(b"".join(batch.column("key").to_pylist()), np.uint8).reshape(len(batch), width)
         return keys, *(batch.column(name).to_numpy() for name in numbers)
 
-    def rows(pairs, edge=None):
-        """Pairs, which have no key, and entries at the border of the part."""
-        blank = np.empty(0, np.int64)
-        keys, ids, sizes, labels = edge or ([], blank, blank, blank)
-        none = [None] * len(pairs[0])
+    blank = np.empty(0, np.int64)
+    nothing = (np.empty((0, width), np.uint8), blank, blank, blank)
+
+    def rows(pairs, crowd=nothing, edge=nothing):
+        """Pairs, which have no key; entries of crowds with the key of their run; entries at the border of the part."""
+        names = [None] * len(pairs[0]) + [key.tobytes() for key in (*crowd[0][:, : near.width], *edge[0])]
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(np.concatenate([pairs[0], ids])),
-                pa.array(np.concatenate([pairs[1], sizes])),
-                pa.array(np.concatenate([np.zeros(len(none), np.int64), labels])),
-                pa.array(none + [key.tobytes() for key in keys], pa.binary()),
+                pa.array(np.concatenate([pairs[0], crowd[1], edge[1]])),
+                pa.array(np.concatenate([pairs[1], crowd[2], edge[2]])),
+                pa.array(np.concatenate([np.zeros(len(pairs[0]), np.int64), crowd[3], edge[3]])),
+                pa.array(names, pa.binary()),
+                pa.array(np.repeat([False, True, False], [len(pairs[0]), len(crowd[1]), len(edge[1])])),
             ],
-            ["a", "b", "label", "key"],
+            ["a", "b", "label", "key", "crowded"],
         )
 
     def joined(held, new):
@@ -200,13 +212,14 @@ def _candidates(entries: DataFrame, forest: Forest, reach: int) -> DataFrame:
                 continue
             new = arrays(batch)
             both = joined(held, new)
-            head = max(0, min(reach - seen, len(batch)))
-            yield rows(near.pairs(*both, len(both[1]) - len(batch)), tuple(x[:head] for x in new))
+            old, head = len(both[1]) - len(batch), max(0, min(edge_size - seen, len(batch)))
+            places = near.crowded(both[0], old)
+            yield rows(near.pairs(*both, old), tuple(x[places] for x in both), tuple(x[:head] for x in new))
             seen += len(batch)
-            held = tuple(x[-reach:] for x in both)
-        if seen > reach:
-            rest = min(reach, seen - reach)
-            yield rows([np.empty(0, np.int64)] * 2, tuple(x[-rest:] for x in held))
+            held = tuple(x[-edge_size:] for x in both)
+        if seen > edge_size:
+            rest = min(edge_size, seen - edge_size)
+            yield rows([blank] * 2, edge=tuple(x[-rest:] for x in held))
 
     def across(batches):
         held = None
@@ -214,16 +227,20 @@ def _candidates(entries: DataFrame, forest: Forest, reach: int) -> DataFrame:
             if not len(batch):
                 continue
             both = joined(held, (*arrays(batch), batch.column("part").to_numpy()))
-            yield rows(near.pairs(*both[:4], len(both[1]) - len(batch), both[4]))
-            held = tuple(x[-reach:] for x in both)
+            old = len(both[1]) - len(batch)
+            places = near.crowded(both[0], old, both[4])
+            yield rows(near.pairs(*both[:4], old, both[4]), tuple(x[places] for x in both[:4]))
+            held = tuple(x[-edge_size:] for x in both)
 
-    kind = "a long, b long, label long, key binary"
+    kind = "a long, b long, label long, key binary, crowded boolean"
     dealt = entries.repartitionByRange("key", "id").sortWithinPartitions("key", "id")
     found = checkpointed(dealt.mapInArrow(within, kind).withColumn("part", F.spark_partition_id()))
-    # At most 2 * reach entries per part, however large the parts are.
-    borders = found.filter("key IS NOT NULL").select("key", F.col("a").alias("id"), F.col("b").alias("n"), "label", "part")
-    crossing = borders.repartition(1).sortWithinPartitions("key", "id").mapInArrow(across, kind)
-    return found.filter("key IS NULL").select("a", "b").union(crossing.select("a", "b")).distinct()
+    # At most 2 * edge_size entries per part, however large the parts are.
+    borders = found.filter("key IS NOT NULL AND NOT crowded").select("key", F.col("a").alias("id"), F.col("b").alias("n"), "label", "part")
+    crossing = checkpointed(borders.repartition(1).sortWithinPartitions("key", "id").mapInArrow(across, kind))
+    every = found.drop("part").filter("key IS NULL OR crowded").union(crossing)
+    rest = every.filter("crowded").select(F.col("key").alias("run"), F.col("a").alias("id"), "label")
+    return every.filter("NOT crowded").select("a", "b").distinct(), rest
 
 
 def _likely(pairs: DataFrame, sets: DataFrame, forest: Forest) -> DataFrame:
@@ -246,8 +263,8 @@ def _likely(pairs: DataFrame, sets: DataFrame, forest: Forest) -> DataFrame:
     return both.mapInArrow(agree, "a long, b long")
 
 
-def _full_sets(docs: DataFrame, sets: DataFrame, pairs: DataFrame, forest: Forest) -> DataFrame:
-    """(id, shingles): the full set of every id in the pairs, as the bytes of sorted hashes."""
+def _full_sets(docs: DataFrame, sets: DataFrame, ids: DataFrame, forest: Forest) -> DataFrame:
+    """(id, shingles): the full set of every id, as the bytes of sorted hashes."""
 
     def cut(batches):
         for batch in batches:
@@ -258,7 +275,6 @@ def _full_sets(docs: DataFrame, sets: DataFrame, pairs: DataFrame, forest: Fores
                 ["id", "set_id", "shingles"],
             )
 
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi")
     cut_sets = texts.mapInArrow(cut, "id long, set_id binary, shingles binary")
     # An id may stand on several rows; only the sets that it represents count.
@@ -293,7 +309,8 @@ def near_groups(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
 
     Equal sets are one entry of the lists.  A first round looks at near neighbours in a few lists,
     the second at all neighbours in all lists that are not in one group yet.  So a large group of
-    near copies is not compared pair by pair.
+    near copies is not compared pair by pair.  A third looks at all pairs of crowds that are in several
+    groups then.
     """
     parts = salts(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -310,11 +327,15 @@ def near_groups(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
         member.filter("doc_id = least").select(F.col("doc_id").alias("id"), "set_id", "n", "signature").dropDuplicates(["id", "set_id"])
     )
     sets = sets.withColumn("label", F.col("id"))
-    first = contracted(_round_links(docs, sets, forest, forest.first_trees, forest.first_reach))
+    first = contracted(_round_links(docs, sets, forest, forest.first_trees, forest.first_reach, False)[0])
     known = checkpointed(replaced(sets, "label", first))
-    links = _round_links(docs, known, forest, forest.trees, forest.reach)
-    second = contracted(replaced(replaced(links, "a", first), "b", first))
-    labels = replaced(whole.withColumnRenamed("least", "component_id"), "component_id", [*first, *second])
+    links, crowds = _round_links(docs, known, forest, forest.trees, forest.reach, True)
+    steps = [*first, *contracted(replaced(replaced(links, "a", first), "b", first))]
+    members = _open_members(crowds, known, steps)
+    if not members.isEmpty():
+        links = _crowd_links(docs, sets, members, forest)
+        steps += contracted(replaced(replaced(links, "a", steps), "b", steps))
+    labels = replaced(whole.withColumnRenamed("least", "component_id"), "component_id", steps)
     return signed.select("doc_id", "n", "set_id", "salt").join(labels, ["set_id", "salt"], "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
@@ -322,12 +343,134 @@ def near_groups(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _round_links(docs: DataFrame, sets: DataFrame, forest: Forest, trees: int, reach: int) -> DataFrame:
-    """Confirmed links between neighbours in the first lists that have different labels."""
-    candidates = _candidates(_list_entries(sets, forest, trees), forest, reach)
+def _round_links(
+    docs: DataFrame, sets: DataFrame, forest: Forest, trees: int, reach: int, crowds: bool
+) -> tuple[DataFrame, DataFrame]:
+    """Confirmed links between neighbours in the first lists that have different labels; entries of crowds."""
+    candidates, rest = _candidates(_list_entries(sets, forest, trees), forest, reach, crowds)
     pairs = checkpointed(_likely(candidates, sets, forest))
-    full = checkpointed(_full_sets(docs, sets, pairs, forest))
-    return checkpointed(_links(pairs, full, forest))
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    full = checkpointed(_full_sets(docs, sets, ids, forest))
+    return checkpointed(_links(pairs, full, forest)), rest
+
+
+def _open_members(crowds: DataFrame, sets: DataFrame, steps: list[DataFrame]) -> DataFrame:
+    """(id, label): the documents of crowds that are in several groups after the steps."""
+    groups = replaced(crowds.select("run", "label").distinct(), "label", steps)
+    several = groups.groupBy("run").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
+    ids = crowds.join(several, "run", "left_semi").select("id").distinct()
+    return checkpointed(replaced(sets.select("id", "label").distinct().join(ids, "id", "left_semi"), "label", steps))
+
+
+def _crowd_links(docs: DataFrame, sets: DataFrame, members: DataFrame, forest: Forest) -> DataFrame:
+    """All links between members that have different labels.
+
+    The shingles of a set are put into one order for all sets, about rarest first.  The first
+    common shingle of two sets stands at places with so many shingles from there on, in both, that the
+    link is possible: it is one of the first quarter of a set.  Sets that share such a shingle, at such
+    places and with such sizes, are candidates.  Nothing else is left out, so no link is.
+    """
+    full = checkpointed(_full_sets(docs, sets, members, forest))
+    percent = forest.percent
+
+    def count(batches):
+        totals = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for shingles in batch.column("shingles").to_pylist():
+                np.add.at(totals, np.frombuffer(shingles, np.uint64) % np.uint64(COUNTERS), 1)
+        places = np.flatnonzero(totals)
+        yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(totals[places])], ["counter", "total"])
+
+    counted = full.select("shingles").mapInArrow(count, "counter long, total long")
+    counted = counted.groupBy("counter").agg(F.sum("total").alias("total")).toArrow()
+    totals = np.zeros(COUNTERS, np.int64)
+    totals[counted.column("counter").to_numpy()] = counted.column("total").to_numpy()
+
+    def firsts(batches):
+        for batch in batches:
+            found = []
+            numbers = (batch.column(x).to_pylist() for x in ("id", "label", "shingles"))
+            for doc, label, shingles in zip(*numbers, strict=True):
+                shingles = np.frombuffer(shingles, np.uint64)
+                n, often = len(shingles), totals[shingles % np.uint64(COUNTERS)]
+                order = np.lexsort((shingles, often))[: n - -(-percent * n // 100) + 1]
+                # A shingle that is counted once is in no other set.
+                places = np.flatnonzero(often[order] > 1)
+                order = order[places]
+                same = lambda x, places=places: np.full(len(places), x, np.int64)
+                found.append((shingles[order].view(np.int64), same(doc), same(label), same(n), n - places, -(-often[order] // PIECE)))
+            columns = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.empty(0, np.int64)] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["shingle", "id", "label", "n", "rest", "pieces"])
+
+    entries = full.join(members, "id").select("id", "label", "shingles").mapInArrow(
+        firsts, "shingle long, id long, label long, n long, rest long, pieces long"
+    )
+    # A frequent shingle is cut into pieces, and each two pieces are compared in a task of their own.
+    entries = entries.withColumn("piece", F.pmod(F.xxhash64("id"), F.col("pieces")))
+    entries = entries.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    entries = entries.select(
+        "shingle", "id", "label", "n", "rest", "piece", F.least("piece", "other").alias("low"), F.greatest("piece", "other").alias("high")
+    )
+    cell = ["shingle", "low", "high"]
+
+    def within(batches):
+        held = None
+        names = [*cell, "id", "label", "n", "rest", "piece"]
+        for batch in _and_end(batches):
+            if batch is not None:
+                new = np.stack([batch.column(x).to_numpy() for x in names])
+                held = new if held is None else np.concatenate([held, new], axis=1)
+            if held is None or not held.shape[1]:
+                continue
+            starts = np.flatnonzero(np.concatenate([[True], (held[:3, 1:] != held[:3, :-1]).any(axis=0)]))
+            # The last cell may go on in the next batch.
+            done = held.shape[1] if batch is None else starts[-1]
+            ends = np.append(starts[1:], held.shape[1])
+            for start, end in zip(starts[starts < done], ends[starts < done], strict=True):
+                if end - start > 1:
+                    yield from _cell_pairs(held[3:, start:end], held[1, start] != held[2, start], percent)
+            held = held[:, done:]
+
+    pairs = (
+        entries.repartition(*cell).sortWithinPartitions(*cell, "n", "id").mapInArrow(within, "a long, b long").distinct()
+    )
+    return checkpointed(_links(checkpointed(_likely(pairs, sets, forest)), full, forest))
+
+
+def _and_end(batches):
+    yield from batches
+    yield None
+
+
+def _cell_pairs(cell: np.ndarray, two: bool, percent: int) -> Iterator[pa.RecordBatch]:
+    """(a, b): candidates among sets that share a shingle, sorted by size; with ``two`` only of different pieces."""
+    ids, labels, n, rest, pieces = cell
+    values, counts = np.unique(labels, return_counts=True)
+    if len(values) == 1:
+        return
+    # The size of the other set up to which the shingles from here on suffice.
+    most = (100 + percent) * rest // percent - n
+    small = most >= n
+    # Pairs inside the largest group are not gone through.
+    large = labels == values[counts.argmax()]
+    for firsts, seconds in ((large, small & ~large), (~large, small)):
+        x, y = np.flatnonzero(firsts), np.flatnonzero(seconds)
+        low = np.searchsorted(n[y], -(-percent * n[x] // 100))
+        high = np.minimum(np.searchsorted(y, x), np.searchsorted(n[y], most[x], "right"))
+        spans = np.maximum(0, high - low)
+        upto = np.concatenate([[0], np.cumsum(spans)])
+        start = 0
+        while start < len(x):
+            end = max(start + 1, int(np.searchsorted(upto, upto[start] + PAIRS, "right")) - 1)
+            left = np.repeat(x[start:end], spans[start:end])
+            right = y[np.arange(upto[start], upto[end]) - np.repeat(upto[start:end] - low[start:end], spans[start:end])]
+            good = (n[left] <= most[right]) & (labels[left] != labels[right])
+            if two:
+                good &= pieces[left] != pieces[right]
+            a, b = ids[left[good]], ids[right[good]]
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+            start = end
 
 
 def representatives(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 
 from checks.compare import as_lists
+from rillet.llm import near_dedup
 from rillet.llm.arc import archive
 from rillet.llm.common import shared_folder
 from rillet.llm.components import contracted, replaced
@@ -127,6 +128,79 @@ def test_near_groups(spark, docs):
     assert representatives(docs).columns == docs.columns
 
 
+def _crowd(size, planted):
+    """Documents that share a template and are 0.70 to 0.74 similar; some pairs are 0.75 to 0.80 similar."""
+    rng = random.Random(6)
+    template = [f"t{n}" for n in range(104)]
+    tails = [[f"u{n}x{k}" for k in range(rng.choice((18, 19, 20, 21)))] for n in range(size)]
+    for n in range(planted):
+        left, right = 2 * n, size - 1 - 2 * n
+        tails[left] = [f"u{left}x{k}" for k in range(20)]
+        tails[right] = tails[left][: 3 + n % 4] + [f"u{right}x{k}" for k in range(17 - n % 4)]
+    return [(n, " ".join(template + tail)) for n, tail in enumerate(tails)]
+
+
+def _fast_components(texts):
+    """As ``_components``; common shingles are counted shingle by shingle."""
+    sets, holders = [], {}
+    for place, (_, text) in enumerate(texts):
+        words = text.lower().split()
+        sets.append({tuple(words[n : n + 5]) for n in range(max(1, len(words) - 4))})
+        for shingle in sets[-1]:
+            holders.setdefault(shingle, []).append(place)
+    common = np.zeros((len(texts), len(texts)), np.int32)
+    for places in holders.values():
+        if len(places) > 1:
+            common[np.ix_(places, places)] += 1
+    sizes = np.array([len(x) for x in sets])
+    np.fill_diagonal(common, sizes)
+    linked = 100 * common >= 75 * (sizes[:, None] + sizes - common)
+    group = np.arange(len(texts))
+    for _ in range(len(texts)):
+        least = np.where(linked, group, len(texts)).min(axis=1)
+        if (least == group).all():
+            break
+        group = least
+    return {doc: texts[least][0] for (doc, _), least in zip(texts, group, strict=True)}
+
+
+def test_links_inside_a_crowd(spark):
+    texts = _crowd(2000, 40)
+    found = {r.doc_id: r.component_id for r in near_groups(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    expected = _fast_components(texts)
+    assert sum(doc != group for doc, group in expected.items()) == 40
+    assert found == expected
+
+
+def test_crowd_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "PIECE", 50)
+    texts = _crowd(300, 20) + [(1000 + n, f"{text} v{n}") for n, (_, text) in enumerate(_crowd(20, 0))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    members = spark.createDataFrame([(doc, doc) for doc, _ in texts], "id long, label long")
+    signed = near_dedup._signatures(docs, near_dedup.Forest()).withColumnRenamed("doc_id", "id")
+    links = near_dedup._crowd_links(docs, signed, members, near_dedup.Forest()).collect()
+    group = {doc: doc for doc, _ in texts}
+    for a, b in sorted(tuple(r) for r in links):
+        low, high = sorted((group[a], group[b]))
+        group = {x: low if g == high else g for x, g in group.items()}
+    assert group == _fast_components(texts)
+
+
+@pytest.mark.parametrize("two", [False, True])
+def test_pairs_of_a_cell(monkeypatch, two):
+    monkeypatch.setattr(near_dedup, "PAIRS", 100)
+    rng = np.random.default_rng(8)
+    n = np.sort(rng.integers(20, 60, 200))
+    cell = np.stack([np.arange(200), np.where(rng.random(200) < 0.6, 0, rng.integers(0, 30, 200)), n, n - rng.integers(0, n // 4 + 1), rng.integers(0, 2, 200)])
+    _, labels, _, rest, pieces = cell
+    expected = {
+        (a, b) for b in range(200) for a in range(b)
+        if labels[a] != labels[b] and 175 * min(rest[a], rest[b]) >= 75 * (n[a] + n[b]) and 4 * n[a] >= 3 * n[b] and (not two or pieces[a] != pieces[b])
+    }
+    found = [pair for batch in near_dedup._cell_pairs(cell, two, 75) for pair in zip(*batch.to_pydict().values(), strict=True)]
+    assert len(found) == len(set(found)) and set(found) == expected and expected
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(n, n + 1) for n in range(100, 160)] + [(500, n) for n in range(200, 260)] + [(7, 7)]
     tables = contracted(spark.createDataFrame(edges, "a long, b long"))
