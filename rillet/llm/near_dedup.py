@@ -53,8 +53,8 @@ class Forest:
 
 #: Shingles hashed at a time.
 BLOCK = 512
-#: Share of equal values under which a candidate is dropped unread: 4 standard errors (128 values) below 0.75.
-SLACK = 0.15
+#: Least bits of a parity sketch for each shingle.
+SKETCH_BITS = 4
 #: Counters for the shingles of crowds: the order of the shingles only has to be about that of their numbers.
 COUNTERS = 1 << 20
 #: Documents with a common shingle that are compared in one piece, and pairs compared at a time.
@@ -79,23 +79,48 @@ def signature(shingles: np.ndarray, forest: Forest) -> np.ndarray:
     return ((least >> np.uint64(20)) & np.uint64(0xFFFF)).astype(">u2")
 
 
+def parities(shingles: np.ndarray) -> bytes:
+    """For each remainder of the shingles by a power of two whether an odd number of them has it.
+
+    The sketches of two sets differ in at most as many bits as there are shingles in one set only.
+    """
+    bits = 64
+    while bits < SKETCH_BITS * len(shingles):
+        bits *= 2
+    counts = np.bincount((shingles % np.uint64(bits)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def differing(left: bytes, right: bytes) -> int:
+    """Bits in which two sketches differ; the longer one is folded to the length of the other."""
+    if len(left) < len(right):
+        left, right = right, left
+    size, folded = len(left), int.from_bytes(left, "little")
+    while size > len(right):
+        size //= 2
+        folded = (folded >> 8 * size) ^ (folded & ((1 << 8 * size) - 1))
+    return (folded ^ int.from_bytes(right, "little")).bit_count()
+
+
 def _signatures(docs: DataFrame, forest: Forest) -> DataFrame:
-    """(doc_id, n, set_id, signature) per row; set_id is a 128-bit hash of the sorted set."""
+    """(doc_id, n, set_id, signature, parity) per row; set_id is a 128-bit hash of the sorted set."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, names, signs = [], [], []
+            counts, names, signs, odd = [], [], [], []
             for text in batch.column("text").to_pylist():
                 shingles = shingle_set(text, forest.shingle)
                 counts.append(len(shingles))
                 names.append(blake2b(shingles.tobytes(), digest_size=16).digest())
                 signs.append(signature(shingles, forest).tobytes() if len(shingles) else b"")
+                odd.append(parities(shingles))
+            binary = [pa.array(x, pa.binary()) for x in (names, signs, odd)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(names, pa.binary()), pa.array(signs, pa.binary())],
-                ["doc_id", "n", "set_id", "signature"],
+                [batch.column("doc_id"), pa.array(counts, pa.int64()), *binary], ["doc_id", "n", "set_id", "signature", "parity"]
             )
 
-    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, n long, set_id binary, signature binary")
+    kind = "doc_id long, n long, set_id binary, signature binary, parity binary"
+    return docs.select("doc_id", "text").mapInArrow(sign, kind)
 
 
 def _list_entries(sets: DataFrame, forest: Forest, trees: int) -> DataFrame:
@@ -244,23 +269,23 @@ def _candidates(entries: DataFrame, forest: Forest, reach: int, crowds: bool) ->
 
 
 def _likely(pairs: DataFrame, sets: DataFrame, forest: Forest) -> DataFrame:
-    """The pairs whose signatures agree in about the least share of values or more."""
-    least = (forest.percent / 100 - SLACK) * forest.values
+    """The pairs without those whose sketches differ in more bits than a link leaves shingles to differ in."""
 
-    def agree(batches):
+    def possible(batches):
         for batch in batches:
-            left, right = (
-                np.frombuffer(b"".join(batch.column(x).to_pylist()), ">u2").reshape(len(batch), forest.values)
-                for x in ("left", "right")
-            )
-            yield batch.select(["a", "b"]).filter(pa.array((left == right).sum(axis=1) >= least))
+            numbers = (batch.column(x).to_pylist() for x in ("left", "right", "n"))
+            good = [
+                (100 + forest.percent) * (n - differing(left, right)) >= 2 * forest.percent * n
+                for left, right, n in zip(*numbers, strict=True)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    signs = sets.select("id", "signature")
+    sketches = sets.select("id", "n", "parity")
     both = (
-        pairs.join(signs.toDF("a", "left"), "a").join(signs.toDF("b", "right"), "b")
-        .select("a", "b", "left", "right")
+        pairs.join(sketches.toDF("a", "n_left", "left"), "a").join(sketches.toDF("b", "n_right", "right"), "b")
+        .select("a", "b", "left", "right", (F.col("n_left") + F.col("n_right")).alias("n"))
     )
-    return both.mapInArrow(agree, "a long, b long")
+    return both.mapInArrow(possible, "a long, b long")
 
 
 def _full_sets(docs: DataFrame, sets: DataFrame, ids: DataFrame, forest: Forest) -> DataFrame:
@@ -322,14 +347,14 @@ def near_groups(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
     named = signed.filter("n > 0 AND doc_id IS NOT NULL")
     least = {"least": ("min", "doc_id")}
     whole = checkpointed(group_totals(named.select("set_id", "salt", "doc_id"), "set_id", "salt", least))
-    member = named.select("doc_id", "set_id", "salt", "n", "signature").join(whole, ["set_id", "salt"])
+    member = named.select("doc_id", "set_id", "salt", "n", "signature", "parity").join(whole, ["set_id", "salt"])
     sets = checkpointed(
-        member.filter("doc_id = least").select(F.col("doc_id").alias("id"), "set_id", "n", "signature").dropDuplicates(["id", "set_id"])
+        member.filter("doc_id = least").select(F.col("doc_id").alias("id"), "set_id", "n", "signature", "parity").dropDuplicates(["id", "set_id"])
     )
-    sets = sets.withColumn("label", F.col("id"))
-    first = contracted(_round_links(docs, sets, forest, forest.first_trees, forest.first_reach, False)[0])
-    known = checkpointed(replaced(sets, "label", first))
-    links, crowds = _round_links(docs, known, forest, forest.trees, forest.reach, True)
+    labelled = sets.withColumn("label", F.col("id"))
+    first = contracted(_round_links(docs, sets, labelled, forest, forest.first_trees, forest.first_reach, False)[0])
+    known = checkpointed(replaced(labelled.drop("parity"), "label", first))
+    links, crowds = _round_links(docs, sets, known, forest, forest.trees, forest.reach, True)
     steps = [*first, *contracted(replaced(replaced(links, "a", first), "b", first))]
     members = _open_members(crowds, known, steps)
     if not members.isEmpty():
@@ -344,10 +369,10 @@ def near_groups(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
 
 
 def _round_links(
-    docs: DataFrame, sets: DataFrame, forest: Forest, trees: int, reach: int, crowds: bool
+    docs: DataFrame, sets: DataFrame, labelled: DataFrame, forest: Forest, trees: int, reach: int, crowds: bool
 ) -> tuple[DataFrame, DataFrame]:
     """Confirmed links between neighbours in the first lists that have different labels; entries of crowds."""
-    candidates, rest = _candidates(_list_entries(sets, forest, trees), forest, reach, crowds)
+    candidates, rest = _candidates(_list_entries(labelled, forest, trees), forest, reach, crowds)
     pairs = checkpointed(_likely(candidates, sets, forest))
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     full = checkpointed(_full_sets(docs, sets, ids, forest))

@@ -186,6 +186,27 @@ def test_crowd_in_pieces(spark, monkeypatch):
     assert group == _fast_components(texts)
 
 
+def test_link_with_unlike_signatures(spark):
+    forest, rng = near_dedup.Forest(), random.Random(9)
+    agree = 128
+    while agree >= 77:
+        words = [str(rng.randrange(10**9)) for _ in range(8)]
+        texts = [" ".join(words[:7]), " ".join(words)]
+        left, right = (near_dedup.signature(near_dedup.shingle_set(x), forest) for x in texts)
+        agree = int((left == right).sum())
+    rows = near_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [r.component_id for r in rows] == [0, 0]
+
+
+def test_sketches_bound_the_difference():
+    rng = np.random.default_rng(5)
+    for left, right, common in [(3, 4, 3), (300, 280, 250), (300, 200, 0), (20, 900, 10), (1, 1, 1)]:
+        pool = rng.integers(0, 1 << 63, left + right - common, np.uint64)
+        a, b = near_dedup.parities(pool[:left]), near_dedup.parities(pool[left - common :])
+        only = left + right - 2 * common
+        assert min(only, 100) // 2 <= near_dedup.differing(a, b) <= only and near_dedup.differing(a, b) % 2 == only % 2
+
+
 @pytest.mark.parametrize("two", [False, True])
 def test_pairs_of_a_cell(monkeypatch, two):
     monkeypatch.setattr(near_dedup, "PAIRS", 100)
