@@ -1,7 +1,8 @@
 """The main text of web pages, without what a site's template puts on many of its pages.
 
-Element subtrees are hashed, Spark counts on how many different pages of a host each occurs, and those
-that recur are deleted, as are elements that by tag, role, class or id are no article text.
+Element subtrees are hashed, Spark counts on how many different pages of a host each occurs at the same
+place, and those that recur are deleted.  In addition elements go that by tag, role, class or id are no
+article text.
 """
 
 import re
@@ -9,12 +10,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from hashlib import blake2b
 from html import unescape
+from zlib import crc32
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillet.llm.common import checkpointed, salts
+from rillet.llm.common import checkpointed, group_totals, salts
 
 #: HTML's elements without content, and those that end a line of text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -58,6 +60,7 @@ class Element:
     attributes: str = ""
     children: list = field(default_factory=list)
     hash: int = 0
+    key: int | None = None
 
     def values(self) -> dict[str, str]:
         return {
@@ -139,45 +142,48 @@ def is_dropped(element: Element) -> bool:
     return values.get("role") in DROPPED_ROLES or not DROPPED_NAMES.isdisjoint(names)
 
 
-def main_parts(root: Element) -> tuple[list[Element], bool]:
-    """The outermost article elements; without any the main elements; else the whole page (False)."""
-    for wanted in (lambda x: x.tag == "article", lambda x: x.tag == "main" or x.values().get("role") == "main"):
+def is_main(element: Element) -> bool:
+    return element.tag == "main" or ("=" in element.attributes and element.values().get("role") == "main")
+
+
+def main_parts(root: Element, templates: frozenset[int] = frozenset()) -> list[Element]:
+    """The outermost article elements; without any the main elements; else the whole page."""
+    for wanted in (lambda x: x.tag == "article", is_main):
         found, waiting = [], [root]
         while waiting:
             element = waiting.pop()
             if element is not root and wanted(element):
                 found.append(element)
-            elif not (element is not root and is_dropped(element)):
+            elif element is root or not (is_dropped(element) or element.key in templates):
                 waiting.extend(x for x in reversed(element.children) if isinstance(x, Element))
         if found:
-            return found, True
-    return [root], False
+            return found
+    return [root]
 
 
 def counted(root: Element) -> set[int]:
-    """Hashes of the subtrees that can be a template's.
+    """Keys, of the hash and the tags around it, of all subtrees that can be a template's.
 
-    Inside an article these are containers with attributes: a paragraph that several pages share is
-    text.  On a page without article or main all containers count.
+    These are all containers of the page, but no paragraphs inside article or main: one that several
+    pages share is text.
     """
-    parts, marked = main_parts(root)
-    found, waiting = set(), list(parts)
+    found, waiting = set(), [(root, 0, False)]
     while waiting:
-        for child in waiting.pop().children:
+        element, path, inside = waiting.pop()
+        for child in element.children:
             if isinstance(child, Element):
-                if may_be_template(child, marked):
-                    found.add(child.hash)
-                waiting.append(child)
+                if child.tag in CONTAINERS and not (inside and child.tag == "p"):
+                    child.key = child.hash ^ path << 31
+                    found.add(child.key)
+                waiting.append((child, crc32(f">{child.tag}".encode("utf-8", "surrogatepass"), path), inside or child.tag == "article" or is_main(child)))
     return found
 
 
-def may_be_template(element: Element, marked: bool) -> bool:
-    return element.tag in CONTAINERS and (not marked or (element.tag != "p" and bool(element.attributes.strip())))
-
-
 def main_text(root: Element, templates: frozenset[int] = frozenset()) -> str:
     """Blocks of text, joined by an empty line."""
-    parts, marked = main_parts(root)
+    if templates:
+        counted(root)
+    parts = main_parts(root, templates)
     blocks, line = [], []
 
     def end_block() -> None:
@@ -195,7 +201,7 @@ def main_text(root: Element, templates: frozenset[int] = frozenset()) -> str:
                 line.append(unescape(item))
             elif item.tag == "br":
                 line.append(" ")
-            elif item is part or not (is_dropped(item) or (may_be_template(item, marked) and item.hash in templates)):
+            elif item is part or not (is_dropped(item) or item.key in templates):
                 if item.tag in BLOCKS or item is part:
                     end_block()
                     waiting.append(None)
@@ -209,42 +215,33 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-#: The hosts with templates up to which these are broadcast.
-BROADCAST_HOSTS = 100_000
-
-
-def host_templates(pages: DataFrame, min_pages: int = 4, min_share: float = 0.3) -> DataFrame:
-    """(host, templates): subtrees on so many different pages of a host and such a share of them.
+def page_templates(pages: DataFrame, min_pages: int = 4) -> DataFrame:
+    """(host, page, templates): of each page the subtrees that are on so many different pages of its host.
 
-    Pages with equal html count once.  A host has at most 1 / min_share times as many templates
-    as a page has elements.
+    Pages with equal html count once.  The number of a host's pages does not matter, as its sections can
+    have templates of their own.
     """
 
     def subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, names, hashes = [], [], []
-            for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                name = blake2b((html or "").encode("utf-8", "surrogatepass"), digest_size=8).digest()
-                # The row without a subtree stands for the page itself.
-                for value in [None, *counted(parse(html or ""))]:
-                    hosts.append(host)
-                    names.append(name)
-                    hashes.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(names, pa.binary()), pa.array(hashes, pa.int64())], ["host", "page", "subtree"]
-            )
-
-    rows = pages.select(host_of(F.col("url")).alias("host"), "html").filter("host <> ''")
-    counts = rows.mapInArrow(subtrees, "host string, page binary, subtree long").distinct().groupBy("host", "subtree").count()
-    counts = checkpointed(counts)
-    whole = counts.filter("subtree IS NULL").select(F.col("host").alias("_host"), F.col("count").alias("pages"))
-    often = counts.filter((F.col("subtree").isNotNull()) & (F.col("count") >= min_pages)).join(whole, F.col("host") == F.col("_host"))
-    return checkpointed(
-        often.filter(F.col("count") >= min_share * F.col("pages")).groupBy("host").agg(F.collect_list("subtree").alias("templates"))
-    )
-
-
-def extract(pages: DataFrame, min_pages: int = 4, min_share: float = 0.3) -> DataFrame:
+            places, keys = [], []
+            for place, html in enumerate(batch.column("html").to_pylist()):
+                found = counted(parse(html or ""))
+                places += [place] * len(found)
+                keys += found
+            taken = batch.select(["host", "page"]).take(pa.array(places, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(keys, pa.int64())], ["host", "page", "subtree"])
+
+    rows = pages.filter("host <> ''").select("host", "page", "html")
+    rows = rows.mapInArrow(subtrees, "host string, page string, subtree long").distinct()
+    salt = F.pmod(F.xxhash64("page"), F.lit(salts(pages.sparkSession))).cast("int")
+    rows = checkpointed(rows.select(F.struct("host", "subtree").alias("key"), "page", salt.alias("salt")))
+    often = group_totals(rows, "key", "salt", {"pages": ("count", "page")}).filter(F.col("pages") >= min_pages)
+    hits = rows.join(often.select("key", "salt"), ["key", "salt"], "left_semi")
+    return checkpointed(hits.groupBy("key.host", "page").agg(F.collect_list("key.subtree").alias("templates")))
+
+
+def extract(pages: DataFrame, min_pages: int = 4) -> DataFrame:
     """One row per page: page_id, url, text, n_chars (code points).
 
     Text is that of the article (else main, else the page) without menus, headers, footers,
@@ -252,16 +249,8 @@ def extract(pages: DataFrame, min_pages: int = 4, min_share: float = 0.3) -> Dat
     without text, gives an empty text; a page without host has no templates; repeated rows give
     equal rows.  Other columns are not read; an empty table gives an empty result.
     """
-    spark = pages.sparkSession
-    templates = host_templates(pages, min_pages, min_share)
-    rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    if templates.count() <= BROADCAST_HOSTS:
-        rows = rows.join(F.broadcast(templates), "host", "left")
-    else:
-        parts = salts(spark)
-        salted = templates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-        salt = F.pmod(F.xxhash64("url", "page_id"), F.lit(parts)).cast("int")
-        rows = rows.withColumn("salt", salt).join(salted, ["host", "salt"], "left")
+    rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"), F.md5(F.coalesce("html", F.lit(""))).alias("page"))
+    rows = rows.join(page_templates(rows, min_pages), ["host", "page"], "left")
 
     def text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

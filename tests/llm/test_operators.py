@@ -345,6 +345,15 @@ def test_html(spark):
     assert extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
 
+def test_html_templates_without_names(spark):
+    block = "<div>Box</div><ul><li>One<li>Two</ul><section><p>S</section><table><tr><td>T</table>"
+    page = lambda n, more: f"<body><section><article>Teaser</article></section><article><h1>H{n}</h1>{more}<p>Shared</p><p>text {n}</p></article>"
+    # Four of forty pages have the blocks; two others have one of them at another place.
+    pages = [(n, f"http://h.org/{n}", page(n, block if n < 4 else "<blockquote><div>Box</div></blockquote>" if n < 6 else "")) for n in range(40)]
+    rows = {r.page_id: r.text for r in extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert rows == {n: "\n\n".join([f"H{n}", *(["Box"] if n in (4, 5) else []), "Shared", f"text {n}"]) for n in range(40)}
+
+
 @pytest.mark.parametrize("rule", ["first", "last", "most"])
 def test_token_counts(spark, docs, rule):
     rows = spark.createDataFrame([(1, "one two\n\n  three é日本\nfour\n"), (2, None), (3, ""), (4, "<|endoftext|>")], "doc_id long, text string")
