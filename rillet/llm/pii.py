@@ -97,7 +97,7 @@ def shape(token: str) -> str:
     """The token with letters as a or A and digits as 0; runs of letters are cut to one, of digits to four."""
     out: list[str] = []
     run = 0
-    for c in token[:40]:
+    for c in token:
         s = "0" if c.isdigit() else ("A" if c.isupper() else "a") if c.isalpha() else c
         run = run + 1 if out and out[-1] == s else 1
         if run == 1 or (s == "0" and run <= 4):

@@ -20,7 +20,7 @@ from rillet.llm.html_text import extract, main_text, parse
 from rillet.llm.langid import identify, learn, recognised, training_texts
 from rillet.llm.mixing import Mix, mix_documents, mixed
 from rillet.llm.near_dedup import near_groups, representatives
-from rillet.llm.pii import CARD, DIGIT, IP, PHONE, base_spans, is_luhn, personal_data
+from rillet.llm.pii import CARD, DIGIT, IP, PHONE, base_spans, is_luhn, personal_data, shape
 from rillet.llm.queries import ORACLES, QUERIES
 from rillet.llm.suffix_dedup import Repeats, without_repeats
 from rillet.llm.suffix_sort import deep_shallow_order
@@ -302,6 +302,11 @@ def test_personal_data(spark, docs):
     assert [(r.n_email, r.n_ip, r.n_card, r.n_phone) for r in rows] == [(1, 0, 0, 0), (0,) * 4, (0, 0, 1, 0), (0,) * 4, (0,) * 4]
 
 
+def test_shape_of_a_long_token():
+    token = "anna." * 12 + "b[at]example.org1234567"
+    assert shape(token) == "a." * 12 + "a[a]a.a0000"
+
+
 def test_deep_shallow_order():
     rng = random.Random(4)
     strings = [bytes(rng.choices(b"ab", k=rng.randrange(40))) for _ in range(300)] + [b"x" * 90 + bytes([n]) for n in range(9)] + [b"x" * 90] * 3
