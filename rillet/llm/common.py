@@ -22,6 +22,17 @@ def checkpointed(rows: DataFrame) -> DataFrame:
     return rows.checkpoint()
 
 
+def written(rows: DataFrame) -> DataFrame:
+    """The same rows, written below ``spark.checkpoint.dir`` and read again.
+
+    Unlike a checkpoint the new table knows nothing of the plan it came from, whose constraints would
+    otherwise multiply in a loop.
+    """
+    folder = shared_folder(rows.sparkSession)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def salts(spark: SparkSession) -> int:
     """Parts that a hot group is split into: as many as the session has shuffle partitions."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
