@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rillet.llm.arc import archive
 from rillet.llm.common import shared_folder
+from rillet.llm.conversations import conversation_report, damaged
 from rillet.llm.decontaminate import leaks
 from rillet.llm.exact_dedup import exact_groups
 from rillet.llm.html_text import extract
+from rillet.llm.jaccard_join import similar_classes
 from rillet.llm.langid import identify, learn, training_texts
 from rillet.llm.mixing import mix_documents
 from rillet.llm.near_dedup import near_groups
+from rillet.llm.periodic_runs import best_run, periodic_runs, with_planted_runs
 from rillet.llm.pii import personal_data
 from rillet.llm.suffix_dedup import without_repeats
 from rillet.llm.token_counts import token_counts
@@ -152,3 +155,32 @@ def op5_pii(spark, sf_dir):
 def op6_suffix_dedup(spark, sf_dir):
     """Every document without the strings of 400 bytes that occur elsewhere."""
     return without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query()
+def op11_jaccard_join(spark, sf_dir):
+    """Classes of documents whose sets of three words are similar by 90 percent or more."""
+    return similar_classes(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_periodic_runs(spark, sf_dir):
+    """Runs of periodic words in every document, a tenth of them made periodic at the end."""
+    found = periodic_runs(with_planted_runs(table(spark, sf_dir, "documents"))).withColumn("best", best_run("runs"))
+    return found.selectExpr(
+        "doc_id",
+        "CAST(size(runs) AS BIGINT) AS n_runs",
+        "best.start AS start",
+        "best.length AS length",
+        "best.period AS period",
+        "1000 * best.length DIV best.period AS exponent_milli",
+        "sha2(array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), ''), 256) AS runs_sha256",
+        "sha2(collapsed, 256) AS collapsed_sha256",
+    )
+
+
+@query()
+def op13_conversations(spark, sf_dir):
+    """Every conversation, damaged and repaired."""
+    rows = table(spark, sf_dir, "conversations")
+    return conversation_report(rows, damaged(rows))
