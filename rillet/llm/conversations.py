@@ -372,55 +372,64 @@ def repair(rows: DataFrame, costs: Costs = Costs()) -> DataFrame:
     A role with another initial than s, u and a, or none, cannot be kept.  Other columns are not read.  An
     empty table gives an empty result.
     """
+    whole, cut = _repaired(rows, costs)
+    return whole if cut is None else whole.union(cut)
+
+
+def _repaired(rows: DataFrame, costs: Costs) -> tuple[DataFrame, DataFrame | None]:
+    """The repair of the conversations that are one part, and that of the longer ones if there are any."""
     rows = rows.select("conv_id", "turn", *(F.coalesce(F.col(x), F.lit(" ")).alias(x) for x in ("role", "text")))
     long = rows.groupBy("conv_id").count().filter(F.col("count") > costs.part)
-    # One row for at least so many rows of the table: as a table of known size it is broadcast if it is small.
+    # A written table has a known size, so it is broadcast if that is small.
     long = written(long.select(F.col("conv_id").alias("_conv")))
     if long.isEmpty():
-        return _whole(rows, costs)
+        return _whole(rows, costs), None
     same = F.col("conv_id").eqNullSafe(F.col("_conv"))
-    return _whole(rows.join(long, same, "left_anti"), costs).union(_in_parts(rows.join(long, same, "left_semi"), costs))
+    return _whole(rows.join(long, same, "left_anti"), costs), _in_parts(rows.join(long, same, "left_semi"), costs)
 
 
-def digests(parts: DataFrame) -> DataFrame:
-    """(conv_id, counts, cost, audit, repaired_sha256) per conversation from its repaired parts.
+def digests(rows: DataFrame, costs: Costs = Costs()) -> DataFrame:
+    """(conv_id, counts, cost, audit, repaired_sha256) per conversation of ``rows``, after its repair.
 
     The digest is that of all its `role:text`, joined by line feeds.  The parts of one conversation go
     through one task in order, since the digest of a text is made from its start to its end; only one part is in memory.
     """
+    whole, cut = (part and _lines(part) for part in _repaired(rows, costs))
+    whole = whole.selectExpr("conv_id", *COUNTS, "cost", "audit", "sha2(coalesce(lines, ''), 256) AS repaired_sha256")
+    return whole if cut is None else whole.union(_streamed_digests(cut))
+
+
+def _lines(parts: DataFrame) -> DataFrame:
+    lines = "CASE WHEN size(repaired) > 0 THEN array_join(transform(repaired, x -> concat(x.role, ':', x.text)), '\\n') END AS lines"
+    return parts.selectExpr("conv_id", "part", *COUNTS, "cost", "audit", lines)
+
+
+def _streamed_digests(parts: DataFrame) -> DataFrame:
+    """The digests of conversations in several parts."""
     kind = parts.schema["conv_id"].dataType.simpleString()
     schema = f"conv_id {kind}, blank long, duplicate long, truncated long, illegal long, cost long, audit string, repaired_sha256 string"
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found():
             names = [*COUNTS, "cost"]
-            conv, open_ = None, False
+            conv, numbers, audit, made, empty = None, None, [], sha256(), True
             for batch in batches:
                 for row in batch.to_pylist():
-                    if not open_ or row["conv_id"] != conv:
-                        if open_:
+                    if numbers is None or row["conv_id"] != conv:
+                        if numbers is not None:
                             yield conv, *numbers, "".join(audit), made.hexdigest()
-                        conv, open_, numbers, audit, made, empty = row["conv_id"], True, [0] * 5, [], sha256(), True
+                        conv, numbers, audit, made, empty = row["conv_id"], [0] * len(names), [], sha256(), True
                     numbers = [a + row[name] for a, name in zip(numbers, names, strict=True)]
                     audit.append(row["audit"])
                     if row["lines"] is not None:
                         made.update((("" if empty else "\n") + row["lines"]).encode("utf-8", "surrogatepass"))
                         empty = False
-            if open_:
+            if numbers is not None:
                 yield conv, *numbers, "".join(audit), made.hexdigest()
 
         yield from _records(found(), arrow)
 
-    arrow = to_arrow_schema(StructType.fromDDL(schema))
-    lines = "CASE WHEN size(repaired) > 0 THEN array_join(transform(repaired, x -> concat(x.role, ':', x.text)), '\\n') END AS lines"
-    joined = parts.selectExpr("conv_id", "part", *COUNTS, "cost", "audit", lines)
-    whole = joined.filter("part = 0").selectExpr(
-        "conv_id", *COUNTS, "cost", "audit", "sha2(coalesce(lines, ''), 256) AS repaired_sha256"
-    )
-    return whole.union(_streamed(joined.filter("part <> 0"), digest, schema))
-
-
-def _streamed(parts: DataFrame, digest, schema: str) -> DataFrame:
     return parts.repartition("conv_id").sortWithinPartitions("conv_id", "part").mapInArrow(digest, schema)
 
 
@@ -456,7 +465,7 @@ def conversation_report(original: DataFrame, rows: DataFrame, costs: Costs = Cos
     count.  A conversation without rows has zeros, an empty audit and the digest of an empty text.
     """
     turns = rows.groupBy("conv_id").agg((F.max("turn") - F.min("turn") + 1 - F.count_distinct("turn")).alias("gaps"))
-    found = digests(repair(rows, costs)).withColumnRenamed("conv_id", "_conv")
+    found = digests(rows, costs).withColumnRenamed("conv_id", "_conv")
     turns = turns.withColumnRenamed("conv_id", "_turns")
     joined = (
         original.select("conv_id").distinct()
