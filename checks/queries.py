@@ -24,10 +24,12 @@ from rillet.operators.route import extra_columns, missing_columns, route_columns
 from rillet.operators.transform import entity_columns, transform_events, wide_rows
 from rillet.operators.validate import failure_outcome, row_validators, validate_rows
 from rillet.plans.load_batch import LoadOptions, load_batch
+from rillet.plans.load_once import load_once
 from rillet.plans.load_report import line_chunks, load_report
 from rillet.schema import ATOMIC_NAMES
 from rillet.session import shared_folder
 from rillet.sinks.failed_events import FailedEventSink
+from rillet.sinks.ledger import Ledger, batch_metrics, create_tables
 from rillet.sinks.table import add_columns, create_events_table, evolve_table
 from rillet.sources.lines import read_lines, since
 from rillet.streaming.loader import load_stream
@@ -695,3 +697,49 @@ def _load_stream(spark, sf_dir):
 
 _load_stream.__name__ = "load_stream"
 query(_LOADED)(_load_stream)
+
+
+# -- exactly once: batches by source partition, each of them loaded again as after a fault -------
+
+
+def _load_with_ledger(spark, sf_dir, batches: int):
+    folder = shared_folder(spark)
+    suffix = folder[-12:]
+    ledger = Ledger(table="ledger_" + suffix, failed_table="failed_" + suffix, folder=f"{folder}/batches", stream="check")
+    options = LoadOptions(table="events_" + suffix, now=fx.NOW, source_time="src_ts")
+    create_tables(spark, ledger, options.table)
+    for batch_id in [*range(batches), *range(batches)]:
+        lines = fx.enriched_lines(spark, sf_dir).filter(f"src_partition % {batches} = {batch_id}")
+        load_once(lines, options, ledger, batch_id)
+    return options, ledger
+
+
+@query(f"""SELECT CAST(load_day AS VARCHAR) AS load_day, concat('check-', CAST(batch AS VARCHAR)) AS load_batch, item, count(*) AS n,
+  CAST(sum(entities) AS BIGINT) AS entities
+FROM (SELECT DATE '{fx.NOW[:10]}' AS load_day, user_id % 8 % 3 AS batch, 'row' AS item, 1 + n_pages AS entities FROM good
+  UNION ALL SELECT DATE '{fx.NOW[:10]}', user_id % 8 % 3, CASE WHEN k IN (73, 79) THEN 'loader_transform_error' ELSE 'loader_parsing_error' END, 0
+  FROM e WHERE k IN (71, 73, 79, 83, 89, 97)) GROUP BY ALL""")
+def partitioned_load(spark, sf_dir):
+    """Rows, entities and failed events in the partitions of the tables, after every batch was loaded twice."""
+    options, ledger = _load_with_ledger(spark, sf_dir, 3)
+    rows = spark.table(options.table)
+    names = [name for name in rows.columns if name.startswith("unstruct_event_")]
+    contexts = [name for name in rows.columns if name.startswith("contexts_com_acme_web_page")]
+    entities = " + ".join([*(f"CAST({name} IS NOT NULL AS INT)" for name in names), *(f"coalesce(size({name}), 0)" for name in contexts)])
+    counted = rows.selectExpr("load_day", "load_batch", "'row' AS item", f"{entities} AS entities")
+    failed = spark.table(ledger.failed_table).selectExpr("load_day", "load_batch", "kind AS item", "0 AS entities")
+    return (
+        counted.unionByName(failed).groupBy(F.col("load_day").cast("string").alias("load_day"), "load_batch", "item")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("entities").alias("entities"))
+    )
+
+
+@query(f"""SELECT CAST(user_id % 8 % 2 AS BIGINT) AS batch_id, count(*) AS n, CAST(sum(CASE WHEN k NOT IN (71, 73, 79, 83, 89, 97) THEN 1 ELSE 0 END) AS BIGINT) AS good,
+  CAST(sum(CASE WHEN k IN (71, 73, 79, 83, 89, 97) THEN 1 ELSE 0 END) AS BIGINT) AS bad, CAST(sum(strlen(lines.value)) AS BIGINT) AS bytes,
+  epoch_ms(TIMESTAMP '{fx.NOW}') - epoch_ms(min(CASE WHEN k NOT IN (71, 83, 89, 97) THEN ms END)) AS e2e_latency_ms,
+  epoch_ms(TIMESTAMP '{fx.NOW}') - epoch_ms(min(ms)) AS latency_ms
+FROM lines JOIN e ON src_id = event_id GROUP BY 1""")
+def load_ledger(spark, sf_dir):
+    """The ledger after every batch was loaded twice: one row per batch."""
+    _, ledger = _load_with_ledger(spark, sf_dir, 2)
+    return batch_metrics(spark, ledger).select("batch_id", "n", "good", "bad", "bytes", "e2e_latency_ms", "latency_ms")

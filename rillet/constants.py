@@ -210,7 +210,6 @@ METRIC_LATENCY = "latency_millis"
 METRIC_E2E_LATENCY = "e2e_latency_millis"
 
 # -- fixed values: defaults of the job options --------------------------------------
-DEFAULT_TABLE = "events"
 DEFAULT_MAX_BATCH_BYTES = 16_000_000
 DEFAULT_MAX_BATCH_DELAY = "1 second"
 DEFAULT_CPU_FACTOR = "0.75"

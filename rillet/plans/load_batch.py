@@ -14,7 +14,7 @@ from rillet.operators.metrics import metric_columns
 from rillet.operators.parse import parse_lines
 from rillet.operators.transform import TRANSFORM_OK, entity_names, transform_events
 from rillet.operators.validate import Validator, row_validators, validate_rows
-from rillet.session import configure, evaluate_once
+from rillet.session import configure, evaluate_once, shared_folder
 from rillet.sinks.failed_events import FailedEventSink
 from rillet.sinks.table import append_rows, evolve_table
 
@@ -26,7 +26,8 @@ class FatalWriteError(RuntimeError):
 @dataclass(frozen=True)
 class LoadOptions:
     table: str
-    failed_events: FailedEventSink
+    #: Not used with a ledger, which has its own table for failed events.
+    failed_events: FailedEventSink | None = None
     skip_schemas: Sequence[str] = ()
     with_schema_version: bool = True
     processor: Processor = Processor()
@@ -34,13 +35,15 @@ class LoadOptions:
     #: Lines of more bytes become failed events; the table itself has no such limit.
     max_row_bytes: int | None = None
     validators: Sequence[Validator] = ()
-    #: Keep the transformed batch for the three reads that follow.  Right for micro-batches; turn
-    #: it off to load a large stored table, which is then parsed once per read instead.
+    #: Keep the transformed batch in memory for the three reads that follow.  Right for micro-batches; turn
+    #: it off to load a large stored table, whose rows are then staged in the shared folder.
     persist: bool = True
     #: Input bytes per writer, as in a batch of one writer; only used for a persisted batch.
     bytes_per_writer: int = DEFAULT_MAX_BATCH_BYTES
     source_time: str | None = None
     metrics_table: str | None = None
+    #: Codec of the files that `rillet.plans.load_once` writes.
+    compression: str = "snappy"
     #: Clock for load times and latencies, as a UTC time text; the real time by default.
     now: str | None = None
 
@@ -82,14 +85,13 @@ def load_batch(lines: DataFrame, options: LoadOptions, batch_id: int | None = No
     started = datetime.now(timezone.utc)
     now = options.now or started.strftime("%Y-%m-%d %H:%M:%S.%f")
     rows = prepare_rows(lines, options, now)
-    if options.persist:
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK) if options.persist else stage_rows(rows, shared_folder(spark))
     try:
-        report, names = _survey(rows, options, now)
+        report, names = survey(rows, options, now)
         if report is None:
             return BatchResult(0, 0, 0, 0, 0, None)
         if report["fatal"]:
-            raise FatalWriteError(f"{report['fatal']} rows failed with an error this job cannot tolerate")
+            raise FatalWriteError(f"{report['fatal']} rows of the batch failed for other reasons than their data")
 
         added = []
         if report["transformed"]:
@@ -103,7 +105,7 @@ def load_batch(lines: DataFrame, options: LoadOptions, batch_id: int | None = No
         latency = report["e2e_latency_ms"]
         if latency is not None and options.now is None:
             # An event has arrived once its batch is written.
-            latency += int((datetime.now(timezone.utc) - started).total_seconds() * 1000)
+            latency += elapsed_ms(started)
         if options.metrics_table:
             _append_metrics(spark, report, latency, now, batch_id, options.metrics_table)
         return BatchResult(
@@ -115,7 +117,24 @@ def load_batch(lines: DataFrame, options: LoadOptions, batch_id: int | None = No
             rows.unpersist()
 
 
-def _survey(rows: DataFrame, options: LoadOptions, now: str):
+def elapsed_ms(started: datetime) -> int:
+    return int((datetime.now(timezone.utc) - started).total_seconds() * 1000)
+
+
+def stage_rows(rows: DataFrame, folder: str) -> DataFrame:
+    """The prepared rows, written once by outcome and read back; a read of one outcome skips the others' files.
+
+    The lines are parsed once, however often the rows are read and whichever executors are lost.
+    """
+    outcome = F.when(F.col("insertable"), F.lit("good")).otherwise(F.lit("bad"))
+    rows.withColumn("outcome", outcome).write.partitionBy("outcome").parquet(folder)
+    schema = rows.schema.add("outcome", "string")
+    # The flag follows from the folder, so a filter on it reads the files of one outcome only.
+    staged = rows.sparkSession.read.schema(schema).parquet(folder)
+    return staged.withColumn("insertable", F.col("outcome") == "good").drop("outcome")
+
+
+def survey(rows: DataFrame, options: LoadOptions, now: str):
     """Counts of the batch, and the entity columns its rows need, in one pass.
 
     Each row counts once under the empty name and once under each of its entity columns.  Columns

@@ -9,6 +9,11 @@ from rillet.constants import ALERT_TEXTS, LOAD_COLUMN, UNRECOGNIZED_COLUMN_TEXT
 from rillet.operators.transform import entity_columns, entity_value
 from rillet.schema import ATOMIC_NAMES, CONTEXTS_TYPE, UNSTRUCT_TYPE, events_schema
 
+#: Partition columns of a partitioned table: the day of the load, and the batch.
+LOAD_DAY, LOAD_BATCH = "load_day", "load_batch"
+#: Batch of rows that `append_rows` adds to a partitioned table.
+APPENDED = "appended"
+
 log = logging.getLogger(__name__)
 
 
@@ -24,16 +29,23 @@ def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
 
-def create_events_table(spark: SparkSession, table: str, location: str | None = None) -> bool:
-    """Create the table unless it exists; True if it was created."""
+def create_events_table(spark: SparkSession, table: str, location: str | None = None, partitioned: bool = False) -> bool:
+    """Create the table unless it exists; True if it was created.
+
+    A partitioned table has a partition for each day of ``load_tstamp`` and batch, registered in the
+    catalog.  Writes to it list no files, reads only those of the partitions they need.
+    """
     if table_exists(spark, table):
         return False
     columns = ", ".join(
         f"{field.name} {field.dataType.simpleString()}{'' if field.nullable else ' NOT NULL'}"
         for field in events_schema()
     )
+    parts = f"PARTITIONED BY ({LOAD_DAY}, {LOAD_BATCH})" if partitioned else ""
+    if partitioned:
+        columns += f", {LOAD_DAY} DATE, {LOAD_BATCH} STRING"
     place = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{place}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet {parts}{place}")
     return True
 
 
@@ -60,14 +72,15 @@ def add_columns(spark: SparkSession, table: str, names) -> list[str]:
         except AnalysisException as error:
             if "ALREADY_EXISTS" not in (error.getCondition() or ""):
                 raise
-            log.info("Column already exists: %s", name)
+            log.info("Another writer has added the column %s", name)
     if names:
         spark.catalog.refreshTable(table)
     return added
 
 
 def table_columns(spark: SparkSession, table: str) -> list[str]:
-    return spark.table(table).columns
+    """Column names from the catalog, without a look at the files."""
+    return [column.name for column in spark.catalog.listColumns(table)]
 
 
 def evolve_table(spark: SparkSession, table: str, names) -> list[str]:
@@ -79,15 +92,23 @@ def evolve_table(spark: SparkSession, table: str, names) -> list[str]:
     return add_columns(spark, table, [name for name in names if name not in present])
 
 
-def table_row(columns) -> list[str]:
-    """SQL for a transformed row in the columns of the table; entity columns come from the entities."""
-    atomic = {*ATOMIC_NAMES, LOAD_COLUMN}
+def table_row(columns, atomic: bool = False) -> list[str]:
+    """SQL for a transformed row in the columns of the table; entity columns come from the entities.
+
+    With ``atomic`` the atomic columns come first without being named.
+    """
+    own = {*ATOMIC_NAMES, LOAD_COLUMN}
+    computed = {LOAD_DAY: f"CAST({LOAD_COLUMN} AS DATE) AS {LOAD_DAY}", LOAD_BATCH: f"'{APPENDED}' AS {LOAD_BATCH}"}
     entity = ("unstruct_event_", "contexts_")
-    return [
-        name if name in atomic else entity_value(name)
-        for name in columns
-        if name in atomic or name.startswith(entity)
-    ]
+    row = [*ATOMIC_NAMES, LOAD_COLUMN] if atomic else []
+    for name in columns:
+        if name in own:
+            row.append(name)
+        elif name in computed:
+            row.append(computed[name])
+        elif name.startswith(entity):
+            row.append(entity_value(name))
+    return row
 
 
 def append_rows(rows: DataFrame, table: str, names=None, attempts: int = 3) -> None:

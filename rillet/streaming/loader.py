@@ -7,7 +7,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rillet.constants import DEFAULT_MAX_BATCH_DELAY
 from rillet.plans.load_batch import BatchResult, LoadOptions, load_batch
+from rillet.plans.load_once import load_once
 from rillet.session import configure
+from rillet.sinks.ledger import Ledger, create_tables
 from rillet.sinks.table import create_events_table
 
 
@@ -20,6 +22,7 @@ def load_stream(
     available_now: bool = False,
     max_delay: str = DEFAULT_MAX_BATCH_DELAY,
     on_batch: Callable[[int, BatchResult], None] | None = None,
+    ledger: Ledger | None = None,
 ) -> StreamingQuery:
     """Start loading a stream of lines (see `rillet.sources.lines.read_lines`).
 
@@ -27,12 +30,18 @@ def load_stream(
     when the table, the failed events and the metrics are written, so delivery is at least once:
     after a fault the same batch is read and loaded again.  The size of a micro-batch is set with
     the limits of the source (bytes, records or files per trigger), its delay with ``max_delay``.
+
+    With a ``ledger`` delivery is exactly once: a batch is loaded by `load_once`, failed events go to
+    the ledger's table and the counts of batches to the ledger itself.
     """
     configure(spark)
-    create_events_table(spark, options.table, table_location)
+    if ledger:
+        create_tables(spark, ledger, options.table)
+    else:
+        create_events_table(spark, options.table, table_location)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        result = load_batch(batch, options, batch_id)
+        result = load_once(batch, options, ledger, batch_id) if ledger else load_batch(batch, options, batch_id)
         if on_batch:
             on_batch(batch_id, result)
 
