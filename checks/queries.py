@@ -442,6 +442,27 @@ _assign_batches.__name__ = "assign_batches"
 query("SELECT src_partition, chunk_id, bytes, batch_id FROM assigned")(_assign_batches)
 
 
+_UNIT_RECORDS = 150
+
+
+@query(f"""SELECT * FROM (WITH RECURSIVE units AS (
+  SELECT src_partition, src_id // {_UNIT_RECORDS} AS chunk, CASE WHEN strlen(lines.value) > {MAX_BATCH_BYTES // _UNIT_RECORDS} THEN src_id END AS line,
+    min(src_id) AS unit, count(*) AS n, CAST(sum(CASE WHEN k NOT IN (71, 73, 79, 83, 89, 97) THEN 1 ELSE 0 END) AS BIGINT) AS good,
+    CAST(sum(strlen(lines.value)) AS BIGINT) AS bytes, min(CASE WHEN k NOT IN (71, 83, 89, 97) THEN ms END) AS earliest
+  FROM lines JOIN e ON src_id = event_id GROUP BY 1, 2, 3),
+sums AS (SELECT *, sum(bytes) OVER (PARTITION BY src_partition ORDER BY unit) AS upto FROM units),
+starts AS (SELECT src_partition, 0 AS batch_id, min(unit) AS unit, CAST(0 AS HUGEINT) AS before FROM sums GROUP BY 1
+  UNION ALL SELECT s.src_partition, s.batch_id + 1, min(u.unit), min(u.upto - u.bytes) FROM starts s JOIN sums u
+    ON s.src_partition = u.src_partition AND u.unit > s.unit AND u.upto > s.before + {MAX_BATCH_BYTES} GROUP BY s.src_partition, s.batch_id)
+SELECT u.src_partition, CAST(s.batch_id AS BIGINT) AS batch_id, CAST(sum(n) AS BIGINT) AS n, CAST(sum(good) AS BIGINT) AS good,
+  CAST(sum(n) - sum(good) AS BIGINT) AS bad, CAST(sum(bytes) AS BIGINT) AS bytes, strftime(min(earliest), '%Y-%m-%d %H:%M:%S.%g') AS earliest
+FROM sums u ASOF JOIN starts s ON u.src_partition = s.src_partition AND u.unit >= s.unit GROUP BY 1, 2)""")
+def bounded_batches(spark, sf_dir):
+    """Batches that end before the limit, of units of lines."""
+    report = load_report(fx.enriched_lines(spark, sf_dir), fx.NOW, MAX_BATCH_BYTES, _UNIT_RECORDS, bounded=True)
+    return report.select("src_partition", "batch_id", "n", "good", "bad", "bytes", _text("earliest"))
+
+
 def _merge_rollups(spark, sf_dir):
     merged = merge_rollups(_assigned(spark, sf_dir), "src_partition", "batch_id")
     return merged.select("src_partition", "batch_id", "n", "good", "bad", "bytes", _text("earliest"))
