@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import fixtures as fx
 from rillet import configure
+from rillet.constants import FAILED_EVENT_SINK_LABEL
 from rillet.functions.alerts import alert_text, qualified_name
 from rillet.functions.casts import blank_as_null, decimal_value, typed_value
 from rillet.functions.entities import contexts_column_name, unstruct_column_name
@@ -18,6 +19,7 @@ from rillet.functions.texts import clean_error_text, friendly_message, utf8_payl
 from rillet.operators.bad_rows import Processor, limit_size, sink_groups, unreadable_events, unwritable_events
 from rillet.operators.batches import assign_batches, merge_rollups, round_robin
 from rillet.operators.failures import failures_with_events, written_rows
+from rillet.operators.health import health_report as service_report
 from rillet.operators.metrics import good_bad_counts, health_status, metrics_report
 from rillet.operators.parse import parse_lines, split_good_bad
 from rillet.operators.route import extra_columns, missing_columns, route_columns
@@ -33,6 +35,7 @@ from rillet.sinks.ledger import Ledger, batch_metrics, create_tables
 from rillet.sinks.table import add_columns, create_events_table, evolve_table
 from rillet.sources.lines import read_lines, since
 from rillet.streaming.loader import load_stream
+from rillet.streaming.metrics import roll_up, stored_batches
 
 MAX_BATCH_BYTES = 100_000
 SKIP = ["x:org.demo/session_ctx/jsonschema/2-*-*", "x:com.acme/click/jsonschema/2-0-0"]
@@ -764,3 +767,53 @@ def load_ledger(spark, sf_dir):
     """The ledger after every batch was loaded twice: one row per batch."""
     _, ledger = _load_with_ledger(spark, sf_dir, 2)
     return batch_metrics(spark, ledger).select("batch_id", "n", "good", "bad", "bytes", "e2e_latency_ms", "latency_ms")
+
+
+@query("""SELECT strftime(date_trunc('minute', t), '%Y-%m-%d %H:%M:%S.%g') AS period, CAST(sum(good) AS BIGINT) AS events_good,
+CAST(sum(bad) AS BIGINT) AS events_bad, max(latency_ms) AS latency_millis, coalesce(max(e2e_latency_ms), -1) AS e2e_latency_millis
+FROM batch_metrics GROUP BY 1""")
+def metrics_rollup(spark, sf_dir):
+    """The metrics of periods from a stream of batch metrics whose files are not in the order of time."""
+    folder = shared_folder(spark)
+    metrics = fx.spark_table(spark, sf_dir, "metrics").selectExpr("t", "CAST(0 AS BIGINT) AS batch_id", "good", "bad", "CAST(0 AS BIGINT) AS bytes", "latency_ms", "e2e_latency_ms")
+    metrics.repartition(4, "good").write.parquet(f"{folder}/batches")
+    table = "rollup_" + folder[-12:]
+    # All batches count, however late.
+    roll_up(
+        stored_batches(spark, f"{folder}/batches", 2), table, f"{folder}/checkpoint", late="10000 days", available_now=True
+    ).awaitTermination()
+    spark.catalog.refreshTable(table)
+    return spark.table(table).drop("day").withColumns({"period": _text("period"), "e2e_latency_millis": F.coalesce("e2e_latency_millis", F.lit(-1))})
+
+
+# Statuses of services: one per event, of a service by its type; some failed, some late.
+_STATUSES = {
+    "t": "ts", "batch_id": "event_id", "service": "CASE WHEN event_type = 'error' THEN 'failed_events' WHEN event_type = 'view' THEN 'source' ELSE 'table' END",
+    "failed": f"({fx.K} % 9 = 0)", "latency_ms": f"CASE WHEN event_type = 'view' THEN CAST({fx.K} AS BIGINT) * 4000 END",
+    "cause": f"CASE WHEN {fx.K} % 2 = 0 THEN concat('cause ', CAST(event_id AS {{text}})) END",
+}
+
+
+def _statuses(text: str) -> list[str]:
+    return [f"{sql.format(text=text)} AS {name}" for name, sql in _STATUSES.items()]
+
+
+_STATES = f""", statuses AS (SELECT {', '.join(_statuses('VARCHAR'))} FROM events),
+states AS (SELECT *, CASE WHEN failed OR latency_ms > 300000 THEN 'unhealthy' ELSE 'healthy' END AS state,
+  CASE service WHEN 'table' THEN 'warehouse' WHEN 'failed_events' THEN '{FAILED_EVENT_SINK_LABEL}' ELSE service END AS label FROM statuses),
+changes AS (SELECT *, state <> lag(state, 1, 'healthy') OVER (PARTITION BY service ORDER BY t, batch_id, failed) AS changed,
+  CASE WHEN failed THEN concat(label, ': ', coalesce(cause, 'failed')) WHEN state = 'unhealthy' THEN concat(label, ': latency of ', latency_ms, ' ms') END AS message
+  FROM states)
+"""
+
+
+@query(_STATES + """SELECT DISTINCT service, last_value(state) OVER w AS state, strftime(max(CASE WHEN changed THEN t END) OVER p, '%Y-%m-%d %H:%M:%S.%g') AS since,
+  CAST(sum(CASE WHEN changed AND state = 'unhealthy' THEN 1 ELSE 0 END) OVER p AS BIGINT) AS times_unhealthy,
+  CAST(sum(CASE WHEN failed THEN 1 ELSE 0 END) OVER p AS BIGINT) AS failures, coalesce(last_value(message) OVER w, '') AS message
+FROM changes WINDOW p AS (PARTITION BY service),
+  w AS (PARTITION BY service ORDER BY t, batch_id, failed ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""")
+def health_report(spark, sf_dir):
+    """State of each service after its last status, since when, and how often it failed."""
+    statuses = fx.events(spark, sf_dir).selectExpr(*_statuses("STRING"))
+    report = service_report(statuses)
+    return report.withColumns({"since": _text("since"), "message": F.coalesce("message", F.lit(""))})

@@ -23,6 +23,10 @@ class FatalWriteError(RuntimeError):
     """A row failed for a reason that is not in its data: nothing of the batch is loaded."""
 
 
+class FailedEventSinkError(RuntimeError):
+    """The failed events of a batch could not be written."""
+
+
 @dataclass(frozen=True)
 class LoadOptions:
     table: str
@@ -101,7 +105,10 @@ def load_batch(lines: DataFrame, options: LoadOptions, batch_id: int | None = No
                 good = good.coalesce(_writers(report["bytes"], options))
             append_rows(good, options.table, names)
         if report["bad"]:
-            options.failed_events.write(failed_events(rows, options))
+            try:
+                options.failed_events.write(failed_events(rows, options))
+            except Exception as error:
+                raise FailedEventSinkError(str(error)) from error
         latency = report["e2e_latency_ms"]
         if latency is not None and options.now is None:
             # An event has arrived once its batch is written.

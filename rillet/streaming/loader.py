@@ -9,6 +9,7 @@ from rillet.constants import DEFAULT_MAX_BATCH_DELAY
 from rillet.plans.load_batch import BatchResult, LoadOptions, load_batch
 from rillet.plans.load_once import load_once
 from rillet.session import configure
+from rillet.sinks.health import add_statuses, create_health_table, failure_status, success_statuses
 from rillet.sinks.ledger import Ledger, create_tables
 from rillet.sinks.table import create_events_table
 
@@ -23,6 +24,7 @@ def load_stream(
     max_delay: str = DEFAULT_MAX_BATCH_DELAY,
     on_batch: Callable[[int, BatchResult], None] | None = None,
     ledger: Ledger | None = None,
+    health_table: str | None = None,
 ) -> StreamingQuery:
     """Start loading a stream of lines (see `rillet.sources.lines.read_lines`).
 
@@ -33,6 +35,9 @@ def load_stream(
 
     With a ``ledger`` delivery is exactly once: a batch is loaded by `load_once`, failed events go to
     the ledger's table and the counts of batches to the ledger itself.
+
+    With a ``health_table`` each attempt at a batch adds its status to that table, failed attempts too:
+    a row for the service that failed, else one for each service (see `rillet.operators.health`).
     """
     configure(spark)
     if ledger:
@@ -41,10 +46,19 @@ def load_stream(
         create_events_table(spark, options.table, table_location)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        result = load_once(batch, options, ledger, batch_id) if ledger else load_batch(batch, options, batch_id)
+        try:
+            result = load_once(batch, options, ledger, batch_id) if ledger else load_batch(batch, options, batch_id)
+        except Exception as error:
+            if health_table:
+                add_statuses(spark, health_table, failure_status(error, batch_id, options.now))
+            raise
+        if health_table:
+            add_statuses(spark, health_table, success_statuses(result, batch_id, options.now))
         if on_batch:
             on_batch(batch_id, result)
 
+    if health_table:
+        create_health_table(spark, health_table)
     trigger = {"availableNow": True} if available_now else {"processingTime": max_delay}
     return (
         lines.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(**trigger).start()
