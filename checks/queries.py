@@ -5,6 +5,7 @@ Unless an operator works on the text of the lines itself, the SQL computes the a
 """
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from checks import fixtures as fx
 from rillet import configure
@@ -18,6 +19,7 @@ from rillet.functions.latency import latency_ms
 from rillet.functions.texts import clean_error_text, friendly_message, utf8_payload
 from rillet.operators.bad_rows import Processor, limit_size, sink_groups, unreadable_events, unwritable_events
 from rillet.operators.batches import assign_batches, merge_rollups, round_robin
+from rillet.operators.conform import TableRules, conformed
 from rillet.operators.failures import failures_with_events, written_rows
 from rillet.operators.health import health_report as service_report
 from rillet.operators.metrics import good_bad_counts, health_status, metrics_report
@@ -817,3 +819,34 @@ def health_report(spark, sf_dir):
     statuses = fx.events(spark, sf_dir).selectExpr(*_statuses("STRING"))
     report = service_report(statuses)
     return report.withColumns({"since": _text("since"), "message": F.coalesce("message", F.lit(""))})
+
+
+# Rows from elsewhere: most values as text, some wrong in one way or several.
+_FOREIGN = {
+    "id": f"CASE WHEN {fx.K} % 10 = 1 THEN NULL WHEN {fx.K} % 10 = 2 THEN 'no id' ELSE CAST(event_id AS {{text}}) END",
+    "kind": f"CASE WHEN {fx.K} % 10 = 3 THEN '' WHEN {fx.K} % 10 = 4 THEN concat(event_type, '-of-a-long-name') ELSE event_type END",
+    "price": f"CASE WHEN {fx.K} % 10 IN (2, 5) THEN '123456.7' WHEN {fx.K} % 10 = 6 THEN '1,5' ELSE '12.5' END",
+    "day": f"CASE WHEN {fx.K} % 10 = 7 THEN '2024-13-01' ELSE '2024-01-31' END",
+    "flag": f"CASE WHEN {fx.K} % 10 = 8 THEN 'yes' ELSE '1' END",
+    "note": f"CASE WHEN {fx.K} % 10 = 9 THEN repeat('n', 400) END",
+    "event_id": "event_id",
+}
+
+
+def _foreign(text: str) -> list[str]:
+    return [f"{sql.format(text=text)} AS {name}" for name, sql in _FOREIGN.items()]
+
+
+@query(f"""SELECT event_id, code, coalesce(name, '') AS name FROM (SELECT event_id, unnest(list_filter([
+  CASE WHEN m = 1 THEN {{'code': 'NULL_VALUE', 'name': 'id'}} END, CASE WHEN m = 2 THEN {{'code': 'INVALID_FORMAT_ROW', 'name': 'id'}} END,
+  CASE WHEN m = 3 THEN {{'code': 'NULL_OR_EMPTY_STRING', 'name': 'kind'}} END, CASE WHEN m = 4 THEN {{'code': 'INVALID_VALUE_ROW', 'name': 'kind'}} END,
+  CASE WHEN m IN (2, 5) THEN {{'code': 'INVALID_VALUE_ROW', 'name': 'price'}} END, CASE WHEN m = 6 THEN {{'code': 'INVALID_FORMAT_ROW', 'name': 'price'}} END,
+  CASE WHEN m = 7 THEN {{'code': 'INVALID_FORMAT_ROW', 'name': 'day'}} END, CASE WHEN m = 8 THEN {{'code': 'INVALID_FORMAT_ROW', 'name': 'flag'}} END,
+  {{'code': 'UNKNOWN_DATA_TYPE', 'name': 'place'}}, CASE WHEN m = 9 THEN {{'code': 'MAX_ROW_SIZE_EXCEEDED', 'name': NULL}} END], lambda x: x IS NOT NULL), recursive := true)
+FROM (SELECT event_id, {fx.K} % 10 AS m FROM events))""")
+def table_checks(spark, sf_dir):
+    """All errors of every row against a table: all six codes, several per row."""
+    rows = fx.events(spark, sf_dir).selectExpr(*_foreign("STRING"), "map(event_type, user_id) AS place")
+    schema = StructType.fromDDL("id bigint NOT NULL, kind string NOT NULL, price decimal(6,2), day date, flag boolean, place double, note string, event_id bigint")
+    rules = TableRules(schema, not_empty=["kind"], max_length={"kind": 12}, max_row_bytes=400)
+    return conformed(rows, rules).selectExpr("event_id", "inline(errors)").select("event_id", "code", F.coalesce("name", F.lit("")).alias("name"))

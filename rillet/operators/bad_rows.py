@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rillet.operators.batches import running_start
 from rillet.operators.parse import PARSE_ERROR, PARSE_OK
-from rillet.operators.transform import TRANSFORM_ERROR, TRANSFORM_OK
+from rillet.operators.transform import CONTEXTS, TRANSFORM_ERROR, TRANSFORM_OK, UNSTRUCT_NAME, UNSTRUCT_VALUE
+from rillet.schema import ATOMIC_NAMES
 
 PARSING, TRANSFORM, RUNTIME, SIZE = (
     "loader_parsing_error",
@@ -41,13 +42,24 @@ def _payload() -> Column:
     return F.make_valid_utf8(F.col("value").cast("string"))
 
 
-def rejected_events(rows: DataFrame, rejected: Column, processor: Processor, keep=()) -> DataFrame:
+def event_json() -> Column:
+    """The event of a transformed row as JSON: its atomic values, and its entities by column."""
+    entity = F.map_from_arrays(F.array(UNSTRUCT_NAME), F.array(UNSTRUCT_VALUE))
+    return F.to_json(
+        F.struct(*ATOMIC_NAMES, F.when(F.col(UNSTRUCT_NAME).isNotNull(), entity).alias("unstruct_event"), F.col(CONTEXTS).alias("contexts"))
+    )
+
+
+def rejected_events(rows: DataFrame, rejected: Column, processor: Processor, keep=(), event_payload: bool = False) -> DataFrame:
     """Failed events for the rejected rows of a transformed batch: one pass, one filter.
 
     The kind follows from the step that failed: parsing, transforming, or the row checks if the
-    rows carry an ``error_message``.  ``keep`` names further columns to carry along.
+    rows carry an ``error_message``.  ``keep`` names further columns to carry along.  The payload is the
+    line; with ``event_payload`` that of an event which was transformed is the event as JSON.
     """
     payload = _payload()
+    if event_payload:
+        payload = F.when(F.col(TRANSFORM_OK), event_json()).otherwise(payload)
     reasons = [
         (~F.col(PARSE_OK), PARSING, F.to_json(PARSE_ERROR), F.col(PARSE_ERROR)),
         (~F.col(TRANSFORM_OK), TRANSFORM, F.to_json(TRANSFORM_ERROR), F.col(TRANSFORM_ERROR)),

@@ -36,6 +36,8 @@ class LoadOptions:
     with_schema_version: bool = True
     processor: Processor = Processor()
     max_failed_event_bytes: int = 1_000_000
+    #: The payload of an event that fails the row checks is the event as JSON instead of its line.
+    event_payload: bool = False
     #: Lines of more bytes become failed events; the table itself has no such limit.
     max_row_bytes: int | None = None
     validators: Sequence[Validator] = ()
@@ -75,7 +77,7 @@ def prepare_rows(lines: DataFrame, options: LoadOptions, now: str) -> DataFrame:
 
 def failed_events(rows: DataFrame, options: LoadOptions) -> DataFrame:
     """Failed events of a prepared batch, cut to the size limit."""
-    bad = rejected_events(rows, ~F.col("insertable"), options.processor)
+    bad = rejected_events(rows, ~F.col("insertable"), options.processor, event_payload=options.event_payload)
     return limit_size(bad, options.max_failed_event_bytes, options.processor)
 
 

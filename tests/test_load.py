@@ -1,5 +1,7 @@
 """Loading: the cases of a loader with good, bad, mixed, new and failing input."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,6 +92,19 @@ def test_rows_with_wrong_data(spark, options):
     assert row["payload"].startswith("wrong\t")
 
 
+def test_event_as_payload(spark, options):
+    checks = [(F.col("app_id") == "wrong", "INVALID_FORMAT_ROW", "bad format")]
+    lines = frame(spark, [line(app_id="wrong", unstruct_event=XYZ, contexts=ABC), line(app_id="wrong"), *BAD_LINES])
+    load_batch(lines, with_(options, validators=checks, event_payload=True))
+    rows = {r["payload"]: r["json"] for r in failed(spark, options).collect()}
+    events = [json.loads(payload) for payload in rows if payload.startswith("{")]
+    assert len(rows) == 4 and len(events) == 2 and all(event["app_id"] == "wrong" for event in events)
+    (full,) = (event for event in events if "unstruct_event" in event)
+    assert full["unstruct_event"] == {"unstruct_event_xyz_event_1": {"a": 1}}
+    assert full["contexts"] == {"contexts_abc_ctx_2": [{"_schema_version": "2-0-0"}]}
+    assert "nonsense1" in rows
+
+
 def test_fatal_failure_writes_nothing(spark, options):
     checks = [(F.col("app_id") == "x", "INTERNAL_ERROR", "internal")]
     lines = frame(spark, [line(), line(app_id="x", unstruct_event=XYZ), *BAD_LINES])
