@@ -242,16 +242,16 @@ def test_fingerprint_search_finds_all_within_radius():
 def test_leaks(spark, docs):
     rng = random.Random(2)
     words = lambda n: [rng.choice("abcdefgh") + str(rng.randrange(900)) for _ in range(n)]
-    items = [(n, words(rng.randrange(3, 50))) for n in range(10)] + [(10, [])]
+    items = [(n, words(rng.randrange(3, 50))) for n in range(30)] + [(30, [])]
     texts = []
-    for n in range(20):
-        item = list(items[n % 10][1])
+    for n in range(60):
+        item = list(items[n % 30][1])
         if n % 3 == 1:
             item[rng.randrange(len(item))] = "changed"
         texts.append((n, words(rng.randrange(40)) + (item if n % 3 < 2 else item[: len(item) // 2]) + words(rng.randrange(40))))
     expected = set()
     for n, text in texts:
-        for item, content in items[:10]:
+        for item, content in items[:30]:
             size, width = min(len(text), len(content)), min(5, len(content), len(text))
             cut = lambda x: Counter(tuple(x[k : k + width]) for k in range(len(x) - width + 1))  # noqa: B023, E731
             for start in range(len(text) - size + 1):
