@@ -6,7 +6,7 @@ article text.
 """
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Set
 from dataclasses import dataclass, field
 from hashlib import blake2b
 from html import unescape
@@ -44,6 +44,15 @@ DROPPED_NAMES = frozenset(
     "menu modal nav navbar navigation newsletter notice popup promo related replies reply share sharing sidebar social sponsor "
     "sponsored subscribe toolbar widget".split()
 )
+#: Words that say where or in what form such an element stands; with them a compound name means the same.
+FORM_NAMES = frozenset(
+    "area article bar block body bottom box button buttons col column container desktop entry form global group icons inner item items "
+    "left links list main mobile outer overlay page panel post posts primary right secondary section site slot sticky story top unit "
+    "wrap wrapper".split()
+)
+#: Elements that hold the text of the page, whatever they are named.
+NEVER_BY_NAME = frozenset({"#root", "html", "body", "main"})
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 #: Elements whose subtrees are counted.
 CONTAINERS = frozenset("aside details div dl fieldset figure footer form header nav ol p section table ul".split())
 
@@ -51,7 +60,8 @@ TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>"']++|"[^"<]*+"|'[^'<]*+')*+)>|<[!?/a-zA-Z][^<>]*+>?""", re.DOTALL
 )
 ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'<>]+)))?""")
-NAME = re.compile(r"[a-z0-9]+")
+PART = re.compile(r"[^\W_]+")
+NUMBER = re.compile(r"[0-9]+(?:x[0-9]+)?\Z")
 
 
 @dataclass(slots=True)
@@ -132,29 +142,65 @@ def _innermost(stack: list[Element]) -> str:
     return stack[_place_of(stack)].tag
 
 
+def names_dropped(names: str) -> frozenset[str]:
+    """Of a class or id the words for which an element goes.
+
+    A name counts as a whole: ``site-footer`` is a footer, as all its other words say only where or in
+    what form it stands, but ``social-science`` is none of the words.
+    """
+    found = set()
+    for name in names.split():
+        words = {NUMBER.sub("", word) for word in PART.findall(name)} - {""}
+        if words <= DROPPED_NAMES | FORM_NAMES:
+            found |= words & DROPPED_NAMES
+    return frozenset(found)
+
+
 def is_dropped(element: Element) -> bool:
+    return bool(_reasons(element))
+
+
+def _reasons(element: Element) -> frozenset[str]:
+    """The tag, role or words for which an element is no article text."""
     if element.tag in DROPPED_TAGS:
-        return True
-    if "=" not in element.attributes:
-        return False
+        return frozenset({element.tag})
+    if "=" not in element.attributes or element.tag in NEVER_BY_NAME:
+        return frozenset()
     values = element.values()
-    names = NAME.findall(f"{values.get('class', '')} {values.get('id', '')}")
-    return values.get("role") in DROPPED_ROLES or not DROPPED_NAMES.isdisjoint(names)
+    role = values.get("role")
+    return names_dropped(f"{values.get('class', '')} {values.get('id', '')}") | ({role} & DROPPED_ROLES)
+
+
+def _headings(header: Element) -> list[Element]:
+    """The headings of an article's own header, in page order."""
+    found, waiting = [], [header]
+    while waiting:
+        element = waiting.pop()
+        if element.tag in HEADINGS:
+            found.append(element)
+        elif element is header or not is_dropped(element):
+            waiting.extend(x for x in reversed(element.children) if isinstance(x, Element))
+    return found
 
 
 def is_main(element: Element) -> bool:
     return element.tag == "main" or ("=" in element.attributes and element.values().get("role") == "main")
 
 
-def main_parts(root: Element, templates: frozenset[int] = frozenset()) -> list[Element]:
-    """The outermost article elements; without any the main elements; else the whole page."""
+def main_parts(root: Element, templates: Set[int] = frozenset()) -> list[Element]:
+    """The outermost article elements; without any the main elements; else the whole page.
+
+    What is dropped or belongs to a template is no such element and holds none.
+    """
     for wanted in (lambda x: x.tag == "article", is_main):
         found, waiting = [], [root]
         while waiting:
             element = waiting.pop()
+            if element is not root and (is_dropped(element) or element.key in templates):
+                continue
             if element is not root and wanted(element):
                 found.append(element)
-            elif element is root or not (is_dropped(element) or element.key in templates):
+            else:
                 waiting.extend(x for x in reversed(element.children) if isinstance(x, Element))
         if found:
             return found
@@ -179,7 +225,7 @@ def counted(root: Element) -> set[int]:
     return found
 
 
-def main_text(root: Element, templates: frozenset[int] = frozenset()) -> str:
+def main_text(root: Element, templates: Set[int] = frozenset()) -> str:
     """Blocks of text, joined by an empty line."""
     if templates:
         counted(root)
@@ -201,7 +247,12 @@ def main_text(root: Element, templates: frozenset[int] = frozenset()) -> str:
                 line.append(unescape(item))
             elif item.tag == "br":
                 line.append(" ")
-            elif item is part or not (is_dropped(item) or item.key in templates):
+            elif item is not part and (item.key in templates or _reasons(item)):
+                if item.tag in BLOCKS:
+                    end_block()
+                if part is not root and item.key not in templates and _reasons(item) <= {"header"}:
+                    waiting.extend(reversed(_headings(item)))
+            else:
                 if item.tag in BLOCKS or item is part:
                     end_block()
                     waiting.append(None)
