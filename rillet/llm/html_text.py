@@ -12,6 +12,7 @@ from hashlib import blake2b
 from html import unescape
 from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -207,28 +208,27 @@ def main_parts(root: Element, templates: Set[int] = frozenset()) -> list[Element
     return [root]
 
 
-def counted(root: Element) -> set[int]:
-    """Keys, of the hash and the tags around it, of all subtrees that can be a template's.
+def counted(root: Element, host: str = "") -> set[int]:
+    """Keys, of host, hash and the tags around it, of all subtrees that can be a template's.
 
     These are all containers of the page, but no paragraphs inside article or main: one that several
     pages share is text.
     """
+    of_host = int.from_bytes(blake2b(host.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
     found, waiting = set(), [(root, 0, False)]
     while waiting:
         element, path, inside = waiting.pop()
         for child in element.children:
             if isinstance(child, Element):
                 if child.tag in CONTAINERS and not (inside and child.tag == "p"):
-                    child.key = child.hash ^ path << 31
+                    child.key = child.hash ^ path << 31 ^ of_host
                     found.add(child.key)
                 waiting.append((child, crc32(f">{child.tag}".encode("utf-8", "surrogatepass"), path), inside or child.tag == "article" or is_main(child)))
     return found
 
 
 def main_text(root: Element, templates: Set[int] = frozenset()) -> str:
-    """Blocks of text, joined by an empty line."""
-    if templates:
-        counted(root)
+    """Blocks of text, joined by an empty line; ``templates`` are keys that ``counted`` gave the elements."""
     parts = main_parts(root, templates)
     blocks, line = [], []
 
@@ -261,58 +261,84 @@ def main_text(root: Element, templates: Set[int] = frozenset()) -> str:
     return "\n\n".join(blocks)
 
 
+def among(keys: set[int], known: np.ndarray) -> set[int]:
+    """The keys that the sorted array ``known`` holds."""
+    if not len(known):
+        return set()
+    own = np.fromiter(keys, np.int64, len(keys))
+    return set(own[known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own].tolist())
+
+
 def host_of(url: Column) -> Column:
     """The host in lower case; empty without one."""
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def page_templates(pages: DataFrame, min_pages: int = 4) -> DataFrame:
-    """(host, page, templates): of each page the subtrees that are on so many different pages of its host.
+def templates(pages: DataFrame, min_pages: int = 4) -> tuple[DataFrame, DataFrame]:
+    """(key, page) of all subtrees, and the keys (with salt) of those on so many different pages of a host.
 
-    Pages with equal html count once.  The number of a host's pages does not matter, as its sections can
-    have templates of their own.
+    ``pages`` has host, page (a hash of host and html) and html.  Pages with equal html count once.  The
+    number of a host's pages does not matter, as its sections can have templates of their own.
     """
 
     def subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             places, keys = [], []
-            for place, html in enumerate(batch.column("html").to_pylist()):
-                found = counted(parse(html or ""))
+            for place, (host, html) in enumerate(zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True)):
+                found = counted(parse(html or ""), host)
                 places += [place] * len(found)
                 keys += found
-            taken = batch.select(["host", "page"]).take(pa.array(places, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(keys, pa.int64())], ["host", "page", "subtree"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), batch.column("page").take(pa.array(places, pa.int64()))], ["key", "page"])
 
-    rows = pages.filter("host <> ''").select("host", "page", "html")
-    rows = rows.mapInArrow(subtrees, "host string, page string, subtree long").distinct()
-    salt = F.pmod(F.xxhash64("page"), F.lit(salts(pages.sparkSession))).cast("int")
-    rows = checkpointed(rows.select(F.struct("host", "subtree").alias("key"), "page", salt.alias("salt")))
+    rows = pages.filter("host <> ''").select("host", "page", "html").mapInArrow(subtrees, "key long, page long").distinct()
+    salt = F.pmod(F.col("page"), F.lit(salts(pages.sparkSession))).cast("int")
+    rows = checkpointed(rows.withColumn("salt", salt))
     often = group_totals(rows, "key", "salt", {"pages": ("count", "page")}).filter(F.col("pages") >= min_pages)
-    hits = rows.join(often.select("key", "salt"), ["key", "salt"], "left_semi")
-    return checkpointed(hits.groupBy("key.host", "page").agg(F.collect_list("key.subtree").alias("templates")))
+    return rows, checkpointed(often.select("key", "salt"))
 
 
-def extract(pages: DataFrame, min_pages: int = 4) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = 4, most_keys: int = 1 << 21) -> DataFrame:
     """One row per page: page_id, url, text, n_chars (code points).
 
     Text is that of the article (else main, else the page) without menus, headers, footers,
-    sidebars, notices, adverts, forms, scripts, comments and templates.  A null or empty html, or one
-    without text, gives an empty text; a page without host has no templates; repeated rows give
+    sidebars, notices, adverts, forms, scripts, comments and templates.  Of an article's own header the
+    headings stay.  White space is Unicode's, the non-breaking space included.  A null or empty html, or
+    one without text, gives an empty text; a page without host has no templates; repeated rows give
     equal rows.  Other columns are not read; an empty table gives an empty result.
+
+    Up to ``most_keys`` keys of templates go to all tasks, 8 bytes each, and no html is shuffled; beyond
+    that each page is joined with its own keys.  The rows are the same.
     """
-    rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"), F.md5(F.coalesce("html", F.lit(""))).alias("page"))
-    rows = rows.join(page_templates(rows, min_pages), ["host", "page"], "left")
+    rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
+    rows = rows.withColumn("page", F.xxhash64("host", F.coalesce("html", F.lit(""))))
+    subtrees, often = templates(rows, min_pages)
+    known = often.select("key").distinct()
+    if known.count() <= most_keys:
+        shared = pages.sparkSession.sparkContext.broadcast(np.sort(known.toArrow().column("key").to_numpy()))
+        rows = rows.withColumn("templates", F.lit(None).cast("array<bigint>"))
+    else:
+        shared = None
+        hits = subtrees.join(often, ["key", "salt"], "left_semi").groupBy("page").agg(F.collect_list("key").alias("templates"))
+        rows = rows.join(hits, "page", "left")
+
+    def text_of(html: str | None, host: str, own: list[int] | None) -> str:
+        root = parse(html or "")
+        found = counted(root, host) if host else set()
+        if shared is None:
+            found &= set(own or ())
+        elif found:
+            found = among(found, shared.value)
+        return main_text(root, found)
 
     def text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [
-                main_text(parse(html or ""), frozenset(known or ()))
-                for html, known in zip(batch.column("html").to_pylist(), batch.column("templates").to_pylist(), strict=True)
-            ]
+            columns = [batch.column(name).to_pylist() for name in ("html", "host", "templates")]
+            texts = [text_of(*row) for row in zip(*columns, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())],
                 ["page_id", "url", "text", "n_chars"],
             )
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return rows.select("page_id", "url", "html", "templates").mapInArrow(text, f"page_id {kind}, url string, text string, n_chars long")
+    rows = rows.select("page_id", "url", "html", "host", "templates")
+    return rows.mapInArrow(text, f"page_id {kind}, url string, text string, n_chars long")
