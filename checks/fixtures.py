@@ -96,7 +96,7 @@ def _line_columns(d: dict) -> dict[str, str]:
     return {"src_id": "event_id", "src_partition": "user_id % 8", "src_ts": "ts", "value": line_sql(d)}
 
 
-# Outcomes that a table writer reports for the events of type "error" (none for the others).
+# Outcomes that a table writer reports: "reports" has one for every event, "failures" only those of type "error".
 _FAILURES = {
     "batch_id": "user_id % 8",
     "row_index": "event_id",
@@ -158,7 +158,7 @@ NUMBER_DOC_EXPECTED = """concat('{"whole":', CAST(event_id AS @), ',"thousand":'
     CAST((event_id * 10 + 5) % 100 AS @), ',"long":12345678901234567890123456789012345678901,"tail":', CAST(event_id AS @),
     '.25,"neg":-', CAST((event_id + 1) * 10 + 5 AS @), ',"keep":"', CAST(event_id AS @), 'e3"}')"""
 
-TABLES = {"failures": _FAILURES, "errors": _ERRORS, "metrics": _METRICS, "alerts": _ALERTS}
+TABLES = {"failures": _FAILURES, "reports": _FAILURES, "errors": _ERRORS, "metrics": _METRICS, "alerts": _ALERTS}
 _ONLY = {"failures": " WHERE event_type = 'error'"}
 
 

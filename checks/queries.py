@@ -27,14 +27,14 @@ from rillet.operators.parse import parse_lines, split_good_bad
 from rillet.operators.route import extra_columns, missing_columns, route_columns
 from rillet.operators.transform import entity_columns, transform_events, wide_rows
 from rillet.operators.validate import failure_outcome, row_validators, validate_rows
-from rillet.plans.load_batch import LoadOptions, load_batch
+from rillet.plans.load_batch import FatalWriteError, LoadOptions, load_batch
 from rillet.plans.load_once import load_once
 from rillet.plans.load_report import line_chunks, load_report
 from rillet.schema import ATOMIC_NAMES
 from rillet.session import shared_folder
 from rillet.sinks.failed_events import FailedEventSink
 from rillet.sinks.ledger import Ledger, batch_metrics, create_tables
-from rillet.sinks.table import add_columns, create_events_table, evolve_table
+from rillet.sinks.table import add_columns, append_rows, create_events_table, evolve_table, table_exists
 from rillet.sources.lines import read_lines, since
 from rillet.streaming.loader import load_stream
 from rillet.streaming.metrics import roll_up, stored_batches
@@ -69,6 +69,7 @@ parsed AS (SELECT * FROM e WHERE k NOT IN (71, 83, 89, 97)),
 good AS (SELECT * FROM parsed WHERE k NOT IN (73, 79)),
 lines AS ({fx.duckdb_table('lines')}),
 failures AS ({fx.duckdb_table('failures')}),
+reports AS ({fx.duckdb_table('reports')}),
 errors AS ({fx.duckdb_table('errors')}),
 batch_metrics AS ({fx.duckdb_table('metrics')}),
 alerts AS ({fx.duckdb_table('alerts')}),
@@ -278,17 +279,17 @@ def entity_column_name(spark, sf_dir):
 # -- write failures -------------------------------------------------------------------
 
 
-@query("""SELECT row_index, error_code, error_code <> 'INTERNAL_ERROR' AS data_issue FROM failures""")
+@query("""SELECT row_index, error_code, error_code <> 'INTERNAL_ERROR' AS data_issue FROM reports""")
 def classify_failures(spark, sf_dir):
-    return fx.spark_table(spark, sf_dir, "failures").select(
+    return fx.spark_table(spark, sf_dir, "reports").select(
         "row_index", "error_code", is_data_issue(F.col("error_code")).alias("data_issue")
     )
 
 
 @query("""SELECT batch_id, row_index, CASE WHEN len(extra_cols) > 0 THEN 'evolve' WHEN error_code = 'INTERNAL_ERROR' THEN 'fatal' ELSE 'bad' END
-AS outcome FROM failures""")
+AS outcome FROM reports""")
 def failure_outcomes(spark, sf_dir):
-    return fx.spark_table(spark, sf_dir, "failures").select(
+    return fx.spark_table(spark, sf_dir, "reports").select(
         "batch_id", "row_index", failure_outcome(F.col("extra_cols"), F.col("error_code")).alias("outcome")
     )
 
@@ -298,11 +299,11 @@ ORACLES["failure_outcome"] = ORACLES.pop("failure_outcomes")
 
 
 def _extra_columns(spark, sf_dir):
-    return extra_columns(fx.spark_table(spark, sf_dir, "failures"))
+    return extra_columns(fx.spark_table(spark, sf_dir, "reports"))
 
 
 _extra_columns.__name__ = "extra_columns"
-query("SELECT DISTINCT unnest(extra_cols) AS name FROM failures")(_extra_columns)
+query("SELECT DISTINCT unnest(extra_cols) AS name FROM reports")(_extra_columns)
 
 
 def _route_columns(spark, sf_dir):
@@ -314,7 +315,7 @@ _route_columns.__name__ = "route_columns"
 query("""SELECT name, CASE WHEN name LIKE 'unstruct_event_%' THEN 'object' WHEN name LIKE 'contexts_%' THEN 'array'
 WHEN name = 'geo_city' THEN 'missing_atomic' ELSE 'unrecognized' END AS route,
 CASE WHEN name LIKE 'unstruct_event_%' THEN 'variant' WHEN name LIKE 'contexts_%' THEN 'array<variant>' ELSE '' END AS column_type
-FROM (SELECT DISTINCT unnest(extra_cols) AS name FROM failures)""")(_route_columns)
+FROM (SELECT DISTINCT unnest(extra_cols) AS name FROM reports)""")(_route_columns)
 
 
 def _keyed_lines(spark, sf_dir):
@@ -709,6 +710,50 @@ UNION SELECT 'contexts_com_acme_web_page_1', 'array<variant>' FROM good WHERE n_
 UNION SELECT 'contexts_org_demo_session_ctx_2', 'array<variant>' FROM good WHERE n_pages = 2""")(_evolve_table)
 
 
+@query(f"""SELECT batch_id, batch_id = 0 AS created, (SELECT count(*) FROM good WHERE user_id % 8 % 3 <= batch_id) AS n
+FROM (SELECT unnest(range(3)) AS batch_id)""")
+def create_table_once(spark, sf_dir):
+    """Each of three batches creates the table unless it exists; no later batch loses the rows of an earlier one."""
+    folder = shared_folder(spark)
+    table, found = "events_" + folder[-12:], []
+    for batch_id in range(3):
+        created = not table_exists(spark, table) and create_events_table(spark, table, f"{folder}/table")
+        options = LoadOptions(table=table, failed_events=FailedEventSink(path=f"{folder}/failed"), now=fx.NOW)
+        load_batch(fx.enriched_lines(spark, sf_dir).filter(f"src_partition % 3 = {batch_id}"), options)
+        found.append((batch_id, created, spark.table(table).count()))
+    return spark.createDataFrame(found, "batch_id bigint, created boolean, n bigint")
+
+
+@query(f"""SELECT CAST(user_id % 8 % 4 AS BIGINT) AS batch_id, bool_or(fatal) AS aborted,
+  CASE WHEN bool_or(fatal) THEN 0 ELSE count(*) END AS n FROM (SELECT *, user_id % 8 = 5 AND event_id % 7 = 0 AS fatal FROM good) GROUP BY 1""")
+def aborted_batches(spark, sf_dir):
+    """Batches with a row that fails for a fatal reason load nothing, the others all."""
+    fatal = F.expr("src_partition = 5 AND src_id % 7 = 0")
+    _, options = _options(spark, validators=[(fatal, "INTERNAL_ERROR", "internal")])
+    outcomes = []
+    for batch_id in range(4):
+        lines = fx.enriched_lines(spark, sf_dir).filter(f"src_partition % 4 = {batch_id}")
+        try:
+            load_batch(lines, options, batch_id)
+            outcomes.append((batch_id, False))
+        except FatalWriteError:
+            outcomes.append((batch_id, True))
+    loaded = spark.table(options.table).groupBy(F.expr("CAST(user_id AS BIGINT) % 8 % 4").alias("batch_id")).agg(F.count(F.lit(1)).alias("n"))
+    batches = spark.createDataFrame(outcomes, "batch_id bigint, aborted boolean").join(loaded, "batch_id", "left")
+    return batches.withColumn("n", F.coalesce("n", F.lit(0)))
+
+
+@query(_LOADED)
+def altered_table(spark, sf_dir):
+    """Another writer adds some of the columns after the rows were surveyed: the same rows are in the table once."""
+    _, options = _options(spark)
+    rows = _good(spark, sf_dir)
+    names = sorted(row["name"] for row in entity_columns(rows).collect())
+    add_columns(spark.newSession(), options.table, names[::2])
+    append_rows(rows, options.table, names)
+    return _wide_texts(spark.table(options.table))
+
+
 def _load_stream(spark, sf_dir):
     """The lines as a stream of files, loaded until none is left."""
     folder, options = _options(spark)

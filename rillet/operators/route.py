@@ -17,24 +17,22 @@ def missing_columns(required: DataFrame, table_columns: DataFrame) -> DataFrame:
     return required.join(table_columns, "name", "left_anti")
 
 
+#: Columns that can be added: the pattern of their names, the route, and their type.
+ADDABLE = ((C.UNSTRUCT_PATTERN, "object", UNSTRUCT_TYPE), (C.CONTEXTS_PATTERN, "array", CONTEXTS_TYPE))
+
+
 def route_column(name: Column) -> Column:
     """What a missing column calls for; the order of the rules matters.
 
     ``object`` and ``array`` columns can be added.  ``missing_atomic`` means that the table was not
     made for these events, and ``unrecognized`` that the rows are not events.
     """
-    return (
-        F.when(name.rlike(C.UNSTRUCT_PATTERN), F.lit("object"))
-        .when(name.rlike(C.CONTEXTS_PATTERN), F.lit("array"))
-        .when(name.isin(*ATOMIC_NAMES, C.LOAD_COLUMN), F.lit("missing_atomic"))
-        .otherwise(F.lit("unrecognized"))
-    )
+    atomic = F.when(name.isin(*ATOMIC_NAMES, C.LOAD_COLUMN), F.lit("missing_atomic"))
+    addable = [F.when(name.rlike(pattern), F.lit(route)) for pattern, route, _ in ADDABLE]
+    return F.coalesce(*addable, atomic, F.lit("unrecognized"))
 
 
 def route_columns(names: DataFrame) -> DataFrame:
     """``name``, ``route`` and the type to add the column with (null where it cannot be added)."""
     routed = names.select("name", route_column(F.col("name")).alias("route"))
-    return routed.withColumn(
-        "column_type",
-        F.when(F.col("route") == "object", F.lit(UNSTRUCT_TYPE)).when(F.col("route") == "array", F.lit(CONTEXTS_TYPE)),
-    )
+    return routed.withColumn("column_type", F.coalesce(*(F.when(F.col("route") == route, F.lit(kind)) for _, route, kind in ADDABLE)))

@@ -1,13 +1,15 @@
 """The events table: create it, let it gain entity columns, append rows."""
 
 import logging
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from rillet.constants import ALERT_TEXTS, LOAD_COLUMN, UNRECOGNIZED_COLUMN_TEXT
+from rillet.operators.route import ADDABLE
 from rillet.operators.transform import entity_columns, entity_value
-from rillet.schema import ATOMIC_NAMES, CONTEXTS_TYPE, UNSTRUCT_TYPE, events_schema
+from rillet.schema import ATOMIC_NAMES, events_schema
 
 #: Partition columns of a partitioned table: the day of the load, and the batch.
 LOAD_DAY, LOAD_BATCH = "load_day", "load_batch"
@@ -51,10 +53,9 @@ def create_events_table(spark: SparkSession, table: str, location: str | None =
 
 def addable_type(name: str, pipeline: str = "the event pipeline") -> str:
     """Type for a column the table lacks; raises for a column that must not be added."""
-    if name.startswith("unstruct_event_"):
-        return UNSTRUCT_TYPE
-    if name.startswith("contexts_"):
-        return CONTEXTS_TYPE
+    for pattern, _, kind in ADDABLE:
+        if re.search(pattern, name):
+            return kind
     if name in ATOMIC_NAMES or name == LOAD_COLUMN:
         text = ALERT_TEXTS["table_is_missing_atomic_column"].format(pipeline=pipeline)
         raise MissingAtomicColumn(text.replace("%columns", name))
@@ -72,7 +73,7 @@ def add_columns(spark: SparkSession, table: str, names) -> list[str]:
         except AnalysisException as error:
             if "ALREADY_EXISTS" not in (error.getCondition() or ""):
                 raise
-            log.info("Another writer has added the column %s", name)
+            log.info("%s was added to the table by another writer", name)
     if names:
         spark.catalog.refreshTable(table)
     return added
@@ -115,24 +116,28 @@ def append_rows(rows: DataFrame, table: str, names=None, attempts: int = 3) -> N
     """Append transformed rows; columns they do not fill become null.
 
     ``names`` are the entity columns of the rows, found by a pass over them if not given.  The table
-    gains those it lacks, so no entity is left out.  If another writer altered the table in between,
-    the plan no longer fits: the table is looked up again, gains what it lacks then, and the same
-    rows are written.
+    gains those it lacks, so no entity is left out.  The plan is made without a lock.  If it is refused and
+    the table's columns are no longer those it was made from, another writer has altered the table: it gains
+    what it lacks now, and the same rows are planned again.  Any other refusal is an error at once.
     """
     spark = rows.sparkSession
     if names is None:
         names = sorted(row["name"] for row in entity_columns(rows).collect())
-    for attempt in range(1, attempts + 1):
+    planned_from = refused = None
+    for _ in range(attempts):
+        columns = table_columns(spark, table)
+        if refused and columns == planned_from:
+            raise refused
         try:
-            columns = table_columns(spark, table)
             if not set(names) <= set(columns):
                 evolve_table(spark, table, names)
                 columns = table_columns(spark, table)
+            planned_from = columns
             wide = rows.selectExpr(*table_row(columns))
             spark.sql(f"INSERT INTO {table} BY NAME SELECT * FROM {{rows}}", rows=wide)
             return
-        except AnalysisException:
-            if attempt == attempts:
-                raise
-            log.warning("The table %s changed during the write; trying again", table)
+        except AnalysisException as error:
+            planned_from, refused = columns, error
+            log.warning("A write to %s was refused; looking whether its columns changed", table)
             spark.catalog.refreshTable(table)
+    raise refused

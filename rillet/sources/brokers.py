@@ -5,8 +5,11 @@ offsets in the checkpoint, so commit settings of the consumers have no counterpa
 """
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 from datetime import datetime
 
+from rillet.constants import DEFAULT_MAX_BATCH_BYTES
+
 # -- fixed values: start positions ------------------------------------------------
 OLDEST, NEWEST, AT_TIME = "TRIM_HORIZON", "LATEST", "AT_TIMESTAMP"
 
@@ -18,6 +21,42 @@ def _epoch_millis(timestamp: str) -> str:
     return str(int(datetime.fromisoformat(timestamp).timestamp() * 1000))
 
 
+FILE_FORMATS = frozenset({"avro", "csv", "json", "orc", "parquet", "text"})
+#: Options with which a caller limits the micro-batches of a source.
+LIMIT_OPTIONS = frozenset(
+    {"maxbytespertrigger", "maxfilespertrigger", "maxoffsetspertrigger", "minoffsetspertrigger", "maxtriggerdelay"}
+)
+
+
+@dataclass(frozen=True)
+class Admission:
+    """How much of a backlog one micro-batch takes: a batch of ``batch_bytes`` for each writer.
+
+    Kafka counts records, so ``line_bytes`` is the expected size of a line.  With ``max_delay`` (as "1 second") a
+    micro-batch also waits until one writer's batch is there, at most that long; leave it out for a run that
+    ends with the backlog, as the rest of one would wait for the next run.
+    """
+
+    batch_bytes: int = DEFAULT_MAX_BATCH_BYTES
+    line_bytes: int = 1000
+    max_delay: str | None = None
+
+
+def admission_options(format: str, given: Mapping[str, str], writers: int, admission: Admission = Admission()) -> dict[str, str]:
+    """Default limits for the micro-batches of a source; none if the caller gives any, or for another format."""
+    if LIMIT_OPTIONS & {name.lower() for name in given}:
+        return {}
+    if format in FILE_FORMATS:
+        return {"maxBytesPerTrigger": str(writers * admission.batch_bytes)}
+    if format != "kafka":
+        return {}
+    records = max(1, admission.batch_bytes // admission.line_bytes)
+    options = {"maxOffsetsPerTrigger": str(writers * records)}
+    if admission.max_delay:
+        options |= {"minOffsetsPerTrigger": str(records), "maxTriggerDelay": admission.max_delay}
+    return options
+
+
 def kafka_options(
     topic: str,
     servers: str,

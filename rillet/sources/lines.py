@@ -8,7 +8,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from rillet.constants import DEFAULT_CPU_FACTOR
 from rillet.operators.metrics import parallelism
+from rillet.sources.brokers import Admission, admission_options
 
 LINE_COLUMNS = ("src_partition", "src_id", "src_ts", "value")
 
@@ -41,13 +43,19 @@ def read_lines(
     path: str | None = None,
     schema=None,
     streaming: bool = False,
+    admission: Admission = Admission(),
 ) -> DataFrame:
     """Read lines from any Spark source, once or as a stream.
 
+    A stream of files or of Kafka takes bounded micro-batches, by ``admission`` unless ``options`` limit them.
+
     ``columns`` says where the source keeps the line columns; text files and Kafka are known.  A
     parquet source needs its ``schema`` when it is streamed.
     """
     reader = spark.readStream if streaming else spark.read
+    if streaming:
+        writers = parallelism(spark.sparkContext.defaultParallelism, DEFAULT_CPU_FACTOR)
+        options = admission_options(format, options, writers, admission) | dict(options)
     reader = reader.format(format).options(**options)
     if format == "text":
         # Only a line feed ends a line: a carriage return may be part of a field.
