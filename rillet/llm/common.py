@@ -75,7 +75,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def _set_checkpoint_folder(spark: SparkSession) -> None:
-    """The folder the session names; only one without that setting, as in tests, gets its own."""
-    spark.sparkContext.setCheckpointDir(
-        spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    )
+    """The folder the session names.  A local session without that setting, as in tests, gets its own.
+
+    On a cluster the setting is required: the other machines could not read a folder of the driver's.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines of the cluster share")
+        folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    spark.sparkContext.setCheckpointDir(folder)

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from rillet.llm.shingles import run_hashes, word_hashes
 
@@ -213,7 +214,8 @@ def leaks(docs: DataFrame, items: DataFrame, search: Search = Search()) -> DataF
 
 
 def batch_type(rows: DataFrame, name: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[rows.schema[name].dataType.simpleString()]
+    """The Arrow type of a column, of whatever type it is."""
+    return to_arrow_type(rows.schema[name].dataType)
 
 
 def clean(docs: DataFrame, items: DataFrame, search: Search = Search()) -> DataFrame:
