@@ -1,18 +1,19 @@
 """Load one batch of lines into the events table."""
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from rillet.constants import DEFAULT_MAX_BATCH_BYTES
 from rillet.functions.errors import is_data_issue
 from rillet.operators.bad_rows import Processor, limit_size, rejected_events
 from rillet.operators.metrics import metric_columns
 from rillet.operators.parse import parse_lines
-from rillet.operators.transform import TRANSFORM_OK, entity_names, transform_events
+from rillet.operators.transform import CONTEXT_NAMES, TRANSFORM_OK, UNSTRUCT_NAME, entity_names, transform_events
 from rillet.operators.validate import Validator, row_validators, validate_rows
 from rillet.session import configure, evaluate_once, shared_folder
 from rillet.sinks.failed_events import FailedEventSink
@@ -91,9 +92,14 @@ def load_batch(lines: DataFrame, options: LoadOptions, batch_id: int | None = No
     started = datetime.now(timezone.utc)
     now = options.now or started.strftime("%Y-%m-%d %H:%M:%S.%f")
     rows = prepare_rows(lines, options, now)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK) if options.persist else stage_rows(rows, shared_folder(spark))
+    if options.persist:
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        report, names = survey(rows, options, now)
+        if options.persist:
+            counts = fill_cache(rows, options, now)
+        else:
+            rows, counts = stage_rows(rows, shared_folder(spark), options, now)
+        report, names = survey(counts)
         if report is None:
             return BatchResult(0, 0, 0, 0, 0, None)
         if report["fatal"]:
@@ -130,41 +136,55 @@ def elapsed_ms(started: datetime) -> int:
     return int((datetime.now(timezone.utc) - started).total_seconds() * 1000)
 
 
-def stage_rows(rows: DataFrame, folder: str) -> DataFrame:
-    """The prepared rows, written once by outcome and read back; a read of one outcome skips the others' files.
+def stage_rows(rows: DataFrame, folder: str, options: LoadOptions, now: str) -> tuple[DataFrame, Observation]:
+    """The prepared rows, written once by outcome and read back, and the counts that the write observed.
 
-    The lines are parsed once, however often the rows are read and whichever executors are lost.
+    The lines are parsed once, however often the rows are read and whichever executors are lost.  A
+    read of one outcome skips the others' files.
     """
     outcome = F.when(F.col("insertable"), F.lit("good")).otherwise(F.lit("bad"))
-    rows.withColumn("outcome", outcome).write.partitionBy("outcome").parquet(folder)
+    counts = Observation()
+    counted = rows.observe(counts, *batch_counts(options, now))
+    counted.withColumn("outcome", outcome).write.partitionBy("outcome").parquet(folder)
     schema = rows.schema.add("outcome", "string")
     # The flag follows from the folder, so a filter on it reads the files of one outcome only.
     staged = rows.sparkSession.read.schema(schema).parquet(folder)
-    return staged.withColumn("insertable", F.col("outcome") == "good").drop("outcome")
+    return staged.withColumn("insertable", F.col("outcome") == "good").drop("outcome"), counts
+
+
+def fill_cache(rows: DataFrame, options: LoadOptions, now: str) -> Observation:
+    """Compute the persisted rows, in one job without a shuffle, and count them meanwhile."""
+    counts = Observation()
+    source_time = [options.source_time] if options.source_time else []
+    read = ["value", "parse_ok", TRANSFORM_OK, "insertable", "error_code", "collector_tstamp", CONTEXT_NAMES, UNSTRUCT_NAME]
+    needed = rows.select(*dict.fromkeys([*read, *source_time]))
+    needed.observe(counts, *batch_counts(options, now)).write.format("noop").mode("overwrite").save()
+    return counts
 
 
-def survey(rows: DataFrame, options: LoadOptions, now: str):
-    """Counts of the batch, and the entity columns its rows need, in one pass.
+def batch_counts(options: LoadOptions, now: str) -> list[Column]:
+    """Aggregates that a pass over prepared rows can observe: the metrics of the batch, and ``names``.
 
-    Each row counts once under the empty name and once under each of its entity columns.  Columns
-    of all transformed rows count, also of rows that fail the checks.
+    ``names`` is the schema of an object with one member for each entity column of the transformed
+    rows, also of rows that fail the checks, so its size is that of the distinct names.  A task that ran twice
+    counts once, since no shuffle follows the observation.
     """
     fatal = F.col(TRANSFORM_OK) & F.col("error_code").isNotNull() & ~is_data_issue(F.col("error_code"))
-    source_time = [options.source_time] if options.source_time else []
-    counted = rows.select(
-        "parse_ok", TRANSFORM_OK, "insertable", "collector_tstamp", *source_time,
-        fatal.alias("fatal"),
-        F.octet_length("value").alias("line_bytes"),
-        F.explode_outer(F.array_append(entity_names(), F.lit(""))).alias("name"),
-    )
-    metrics = metric_columns(
-        F.col("insertable"), F.lit(now).cast("timestamp_ntz"), options.source_time, F.col("line_bytes")
-    )
-    found = counted.groupBy("name").agg(
-        *metrics, F.count_if("fatal").alias("fatal"), F.count_if(TRANSFORM_OK).alias("transformed")
-    )
-    by_name = {row["name"]: row for row in found.collect()}
-    return by_name.pop("", None), sorted(by_name)
+    members = F.map_from_arrays(entity_names(), F.transform(entity_names(), lambda _: F.lit(None).cast("int")))
+    return [
+        *metric_columns(F.col("insertable"), F.lit(now).cast("timestamp_ntz"), options.source_time),
+        F.count_if(fatal).alias("fatal"),
+        F.count_if(F.col(TRANSFORM_OK)).alias("transformed"),
+        F.schema_of_variant_agg(F.to_variant_object(members)).alias("names"),
+    ]
+
+
+def survey(counts: Observation) -> tuple[dict | None, list[str]]:
+    """Counts of the batch, and the entity columns its rows need; no counts for a batch without rows."""
+    report = counts.get
+    if not report.get("n"):
+        return None, []
+    return report, sorted(re.findall(r"\w+(?=`?: )", report["names"] or ""))
 
 
 def _writers(n_bytes: int, options: LoadOptions) -> int:

@@ -49,8 +49,8 @@ def _write(lines: DataFrame, options: LoadOptions, folder: str) -> bool:
     spark = lines.sparkSession
     started = datetime.now(timezone.utc)
     now = options.now or started.strftime("%Y-%m-%d %H:%M:%S.%f")
-    rows = stage_rows(prepare_rows(lines, options, now), f"{folder}/rows")
-    report, names = survey(rows, options, now)
+    rows, counts = stage_rows(prepare_rows(lines, options, now), f"{folder}/rows", options, now)
+    report, names = survey(counts)
     if report is None:
         return False
     if report["fatal"]:

@@ -1,13 +1,14 @@
 """Exactly-once loading: faults between each pair of steps, replays, attempts at a time, partitions."""
 
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from rillet.operators.metrics import metrics_report
 from rillet.plans import load_once as plan
-from rillet.plans.load_batch import FatalWriteError, LoadOptions, load_batch
+from rillet.plans.load_batch import FatalWriteError, LoadOptions, fill_cache, load_batch, prepare_rows, survey
 from rillet.plans.load_once import load_once
 from rillet.sinks import ledger as ledgers
 from rillet.sinks.failed_events import FailedEventSink
@@ -219,3 +220,35 @@ def test_one_parse_of_a_stored_table(spark, folder):
     options = LoadOptions(table=name, failed_events=FailedEventSink(path=f"{folder}/failed"), now=NOW, persist=False)
     result = load_batch(counted, options)
     assert (result.good, result.bad, count.value) == (20, 40, 60)
+
+
+def jobs(spark, action):
+    """Jobs that an action starts."""
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, "counted jobs")
+    try:
+        action()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+
+
+def test_counts_come_from_the_write(spark, place, folder):
+    """The pass that computes the rows counts them: one job, without a shuffle or a second one for the counts."""
+    options, ledger = place
+    rows = prepare_rows(lines(spark), options, NOW)
+    assert jobs(spark, lambda: survey(fill_cache(rows, options, NOW))) == 1
+    assert jobs(spark, lambda: survey(plan.stage_rows(rows, f"{folder}/staged", options, NOW)[1])) == 1
+    assert jobs(spark, lambda: table_columns(spark, options.table)) == 0
+
+
+def test_names_of_all_transformed_rows(spark, place):
+    """Each entity column once, however many rows and partitions carry it, also of rows that fail the checks."""
+    options, _ = place
+    events = [line(contexts=contexts((f"x:v{i % 300}/ctx/jsonschema/{i % 2 + 1}-0-0", "{}")), app_id="x" if i < 300 else "y") for i in range(900)]
+    checks = LoadOptions(table=options.table, validators=[(F.col("app_id") == "x", "NULL_VALUE", "bad")])
+    rows = prepare_rows(frame(spark, [*events, line(unstruct_event=XYZ), *BAD_LINES]).repartition(7), checks, NOW)
+    report, names = survey(fill_cache(rows, checks, NOW))
+    expected = {f"contexts_v{i % 300}_ctx_{i % 2 + 1}" for i in range(900)} | {"unstruct_event_xyz_event_1"}
+    assert names == sorted(expected)
+    assert (report["n"], report["good"], report["bad"], report["transformed"]) == (903, 601, 302, 901)
