@@ -21,7 +21,7 @@ from rillet.operators.bad_rows import Processor, limit_size, sink_groups, unread
 from rillet.operators.batches import assign_batches, merge_rollups, round_robin
 from rillet.operators.conform import TableRules, conformed
 from rillet.operators.failures import failures_with_events, written_rows
-from rillet.operators.health import health_report as service_report
+from rillet.operators.health import alerts, health_report as service_report
 from rillet.operators.metrics import good_bad_counts, health_status, metrics_report
 from rillet.operators.parse import parse_lines, split_good_bad
 from rillet.operators.route import extra_columns, missing_columns, route_columns
@@ -866,6 +866,30 @@ def health_report(spark, sf_dir):
     return report.withColumns({"since": _text("since"), "message": F.coalesce("message", F.lit(""))})
 
 
+_BLAMES = {
+    "alert_type": f"CASE {fx.K} % 5 WHEN 0 THEN 'failed_to_show_tables' WHEN 1 THEN 'failed_to_add_columns' WHEN 2 THEN 'failed_to_open_channel' "
+    "WHEN 3 THEN 'table_is_missing_atomic_column' END",
+    "setup": f"({fx.K} % 2 = 0)",
+}
+
+
+@query(f""", statuses AS (SELECT {', '.join(_statuses('VARCHAR'))}, {', '.join(f'{sql} AS {name}' for name, sql in _BLAMES.items())}, event_type FROM events),
+texts AS (SELECT *, CASE WHEN failed AND setup THEN CASE alert_type
+    WHEN 'failed_to_show_tables' THEN concat('Failed to SHOW tables in warehouse schema main.atomic: ', coalesce(cause, 'failed'))
+    WHEN 'failed_to_add_columns' THEN concat('Failed to add columns: [a,', event_type, ']. Cause: ', coalesce(cause, 'failed'))
+    WHEN 'failed_to_open_channel' THEN concat('Failed to open warehouse channel: ', coalesce(cause, 'failed'))
+    WHEN 'table_is_missing_atomic_column' THEN concat('Existing table is incompatible with the event pipeline: Missing required column a,', event_type) END END AS alert
+  FROM statuses),
+ordered AS (SELECT *, lag(alert) OVER (PARTITION BY service ORDER BY t NULLS FIRST, batch_id NULLS FIRST, failed, alert NULLS FIRST) AS before FROM texts)
+SELECT strftime(t, '%Y-%m-%d %H:%M:%S.%g') AS t, batch_id, service, alert FROM ordered WHERE alert IS NOT NULL AND alert IS DISTINCT FROM before""")
+def load_alerts(spark, sf_dir):
+    """Alerts for services whose set-up is wrong, each once until something changes."""
+    columns = "array('a', event_type) AS columns"
+    blames = [f"{sql} AS {name}" for name, sql in _BLAMES.items()]
+    statuses = fx.events(spark, sf_dir).selectExpr(*_statuses("STRING"), *blames, columns)
+    return alerts(statuses, "main", "atomic").withColumn("t", _text("t"))
+
+
 # Rows from elsewhere: most values as text, some wrong in one way or several.
 _FOREIGN = {
     "id": f"CASE WHEN {fx.K} % 10 = 1 THEN NULL WHEN {fx.K} % 10 = 2 THEN 'no id' ELSE CAST(event_id AS {{text}}) END",

@@ -2,6 +2,8 @@
 
 import logging
 import re
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +29,17 @@ class UnrecognizedColumn(RuntimeError):
     """A column that is neither atomic nor an entity column."""
 
 
+@contextmanager
+def blamed(alert_type: str, columns: Iterable[str] = ()) -> Iterator[None]:
+    """An error inside carries the type of its alert and the columns it is about; the innermost such block counts."""
+    try:
+        yield
+    except Exception as error:
+        if not hasattr(error, "alert_type"):
+            error.alert_type, error.alert_columns = alert_type, list(columns)
+        raise
+
+
 def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
@@ -37,8 +50,9 @@ def create_events_table(spark: SparkSession, table: str, location: str | None =
     A partitioned table has a partition for each day of ``load_tstamp`` and batch, registered in the
     catalog.  Writes to it list no files, reads only those of the partitions they need.
     """
-    if table_exists(spark, table):
-        return False
+    with blamed("failed_to_show_tables"):
+        if table_exists(spark, table):
+            return False
     columns = ", ".join(
         f"{field.name} {field.dataType.simpleString()}{'' if field.nullable else ' NOT NULL'}"
         for field in events_schema()
@@ -47,7 +61,8 @@ def create_events_table(spark: SparkSession, table: str, location: str | None =
     if partitioned:
         columns += f", {LOAD_DAY} DATE, {LOAD_BATCH} STRING"
     place = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet {parts}{place}")
+    with blamed("failed_to_create_events_table"):
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet {parts}{place}")
     return True
 
 
@@ -86,11 +101,15 @@ def table_columns(spark: SparkSession, table: str) -> list[str]:
 
 def evolve_table(spark: SparkSession, table: str, names) -> list[str]:
     """Add those of the columns that the table lacks; returns the added ones."""
-    present = set(table_columns(spark, table))
+    with blamed("failed_to_show_tables"):
+        present = set(table_columns(spark, table))
     for name in (*ATOMIC_NAMES, LOAD_COLUMN):
         if name not in present:
-            addable_type(name)
-    return add_columns(spark, table, [name for name in names if name not in present])
+            with blamed("table_is_missing_atomic_column", [name]):
+                addable_type(name)
+    missing = [name for name in names if name not in present]
+    with blamed("failed_to_add_columns", missing):
+        return add_columns(spark, table, missing)
 
 
 def table_row(columns, atomic: bool = False) -> list[str]:
@@ -125,9 +144,10 @@ def append_rows(rows: DataFrame, table: str, names=None, attempts: int = 3) -> N
         names = sorted(row["name"] for row in entity_columns(rows).collect())
     planned_from = refused = None
     for _ in range(attempts):
-        columns = table_columns(spark, table)
+        with blamed("failed_to_show_tables"):
+            columns = table_columns(spark, table)
         if refused and columns == planned_from:
-            raise refused
+            break
         try:
             if not set(names) <= set(columns):
                 evolve_table(spark, table, names)
@@ -140,4 +160,5 @@ def append_rows(rows: DataFrame, table: str, names=None, attempts: int = 3) -> N
             planned_from, refused = columns, error
             log.warning("A write to %s was refused; looking whether its columns changed", table)
             spark.catalog.refreshTable(table)
-    raise refused
+    with blamed("failed_to_open_channel"):
+        raise refused

@@ -37,13 +37,21 @@ def load_stream(
     the ledger's table and the counts of batches to the ledger itself.
 
     With a ``health_table`` each attempt at a batch adds its status to that table, failed attempts too:
-    a row for the service that failed, else one for each service (see `rillet.operators.health`).
+    a row for the service that failed, else one for each service (see `rillet.operators.health`).  So does
+    a failure to create the events table.  `rillet.operators.health.alerts` makes alerts of that table.
     """
     configure(spark)
-    if ledger:
-        create_tables(spark, ledger, options.table)
-    else:
-        create_events_table(spark, options.table, table_location)
+    if health_table:
+        create_health_table(spark, health_table)
+    try:
+        if ledger:
+            create_tables(spark, ledger, options.table)
+        else:
+            create_events_table(spark, options.table, table_location)
+    except Exception as error:
+        if health_table:
+            add_statuses(spark, health_table, failure_status(error, None, options.now))
+        raise
 
     def load(batch: DataFrame, batch_id: int) -> None:
         try:
@@ -57,8 +65,6 @@ def load_stream(
         if on_batch:
             on_batch(batch_id, result)
 
-    if health_table:
-        create_health_table(spark, health_table)
     trigger = {"availableNow": True} if available_now else {"processingTime": max_delay}
     return (
         lines.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(**trigger).start()

@@ -3,9 +3,10 @@
 from datetime import datetime
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from rillet.operators.health import health_report, service_states
+from rillet.operators.health import BLAME, STATUS, alerts, health_report, service_states
 from rillet.plans.load_batch import LoadOptions
 from rillet.sinks.failed_events import FailedEventSink
 from rillet.sinks.ledger import Ledger
@@ -92,3 +93,61 @@ def test_a_failed_batch_leaves_a_status(spark, folder, exact):
     run()
     report = {r["service"]: (r["state"], r["failures"]) for r in health_report(spark.table(health)).collect()}
     assert report == {"table": ("healthy", 1), "source": ("healthy", 0), "failed_events": ("healthy", 0 if exact else 1)}
+
+
+def test_alerts(spark):
+    def failure(minute, kind, columns, cause, setup=True, service="table"):
+        return (_time(minute), minute, service, True, None, cause, kind, columns, setup)
+
+    def success(minute, service="table"):
+        return (_time(minute), minute, service, False, None, None, None, None, None)
+
+    rows = [
+        failure(0, "failed_to_add_columns", ["a", "b"], "SQL compilation error: denied"),
+        failure(1, "failed_to_add_columns", ["a", "b"], "denied"),  # the same text: no further alert
+        failure(2, "failed_to_add_columns", ["a"], "denied"),
+        failure(3, "failed_to_open_channel", [], "timeout", setup=False),  # may pass by itself
+        failure(4, "failed_to_add_columns", ["a"], "denied"),
+        success(5),
+        failure(6, "failed_to_add_columns", ["a"], "denied"),
+        failure(7, None, None, "disk"),  # no known type
+        failure(8, "failed_to_show_tables", None, None),
+        success(0, "source"),
+        failure(9, "table_is_missing_atomic_column", ["app_id"], "x", service="other"),
+    ]
+    found = alerts(spark.createDataFrame(rows, f"{STATUS}, {BLAME}"), "main", "atomic").collect()
+    assert {r["batch_id"]: r["alert"] for r in found} == {
+        0: "Failed to add columns: [a,b]. Cause: denied", 2: "Failed to add columns: [a]. Cause: denied",
+        4: "Failed to add columns: [a]. Cause: denied", 6: "Failed to add columns: [a]. Cause: denied",
+        8: "Failed to SHOW tables in warehouse schema main.atomic: failed",
+        9: "Existing table is incompatible with the event pipeline: Missing required column app_id",
+    }
+    assert alerts(spark.createDataFrame([], f"{STATUS}, {BLAME}")).collect() == []
+
+
+def test_the_load_blames_its_table(spark, folder):
+    """A table that was not made for events: the status of the attempt makes an alert, once however often it is tried."""
+    import os
+
+    os.mkdir(f"{folder}/in")
+    with open(f"{folder}/in/a.txt", "w", newline="") as file:
+        file.write(line() + "\n")
+    suffix = folder[-6:].lower().replace("-", "_")
+    spark.sql(f"CREATE TABLE w_{suffix} (app_id STRING) USING parquet")
+    # A health table of an earlier version gains the columns that alerts need.
+    spark.sql(f"CREATE TABLE h_{suffix} ({STATUS}, day DATE) USING parquet PARTITIONED BY (day)")
+    for minute in range(2):
+        options = LoadOptions(f"w_{suffix}", FailedEventSink(path=f"{folder}/failed"), now=f"2024-01-01 00:0{minute}:00")
+        source = read_lines(spark, "text", {}, path=f"{folder}/in", streaming=True)
+        with pytest.raises(Exception):  # noqa: B017 - the error of the stream wraps the cause
+            load_stream(spark, source, options, f"{folder}/check", available_now=True, health_table=f"h_{suffix}").awaitTermination()
+    # So does a table that cannot be created.
+    options = LoadOptions(f"nowhere.w_{suffix}", FailedEventSink(path=f"{folder}/failed"), now="2024-01-01 00:02:00")
+    with pytest.raises(AnalysisException):
+        load_stream(spark, source, options, f"{folder}/check2", available_now=True, health_table=f"h_{suffix}")
+    statuses = spark.table(f"h_{suffix}")
+    assert statuses.count() == 3
+    first, second = alerts(statuses).orderBy("t").collect()
+    assert first["alert"].startswith("Existing table is incompatible with the event pipeline: Missing required column ")
+    assert second["alert"].startswith("Failed to create table") or second["alert"].startswith("Failed to SHOW tables")
+    assert second["batch_id"] is None
