@@ -6,7 +6,7 @@ offsets in the checkpoint, so commit settings of the consumers have no counterpa
 
 from collections.abc import Mapping
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from rillet.constants import DEFAULT_MAX_BATCH_BYTES
 
@@ -18,7 +18,10 @@ _KAFKA_NOT_PASSED = {"auto.offset.reset", "enable.auto.commit", "allow.auto.crea
 
 
 def _epoch_millis(timestamp: str) -> str:
-    return str(int(datetime.fromisoformat(timestamp).timestamp() * 1000))
+    """Whole milliseconds since 1970; a text without a zone is in UTC, wherever the driver is."""
+    time = datetime.fromisoformat(timestamp)
+    time = time if time.tzinfo else time.replace(tzinfo=timezone.utc)
+    return str((time - datetime.fromtimestamp(0, timezone.utc)) // timedelta(milliseconds=1))
 
 
 FILE_FORMATS = frozenset({"avro", "csv", "json", "orc", "parquet", "text"})

@@ -1,6 +1,7 @@
 """How much of a backlog a micro-batch takes, and when a refused write is planned again."""
 
 import os
+import time
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -11,7 +12,7 @@ from rillet.operators.transform import transform_events
 from rillet.sinks import table as tables
 from rillet.sinks.failed_events import FailedEventSink
 from rillet.plans.load_batch import LoadOptions
-from rillet.sources.brokers import Admission, admission_options
+from rillet.sources.brokers import AT_TIME, Admission, admission_options, kafka_options
 from rillet.sources.lines import read_lines
 from rillet.streaming.loader import load_stream
 from tests.lines import frame, line
@@ -27,6 +28,21 @@ def test_options_by_source():
     assert admission_options("kinesis", {}, 6) == {}
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_start_time_is_utc_in_any_zone(zone, monkeypatch):
+    """A text without a zone means UTC, whatever the zone of the driver; milliseconds are exact."""
+    monkeypatch.setenv("TZ", zone)
+    time.tzset()
+    try:
+        starts = {"2024-03-10T07:00:00.123": "1710054000123", "2024-03-10T07:00:00.123Z": "1710054000123", "2024-03-10T07:00:00+02:00": "1710046800000",
+                  "1969-12-31 23:59:59.999": "-1"}
+        for text, millis in starts.items():
+            assert kafka_options("t", "s", position=AT_TIME, timestamp=text)["startingTimestamp"] == millis
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
 @pytest.mark.parametrize("given", ["maxFilesPerTrigger", "MAXBYTESPERTRIGGER", "minOffsetsPerTrigger"])
 def test_own_limits_count(given):
     assert admission_options("text", {given: "1"}, 6) == admission_options("kafka", {given: "1"}, 6) == {}
