@@ -163,3 +163,21 @@ def test_sink_limits(spark, folder):
 
     assert len(list(Path(folder, "bad").glob("*.parquet"))) == 3
     assert spark.read.parquet(f"{folder}/bad").count() == 250
+
+
+@pytest.mark.parametrize("format", ["parquet", "orc"])
+def test_rows_of_one_row_group_are_dealt_out(spark, folder, format):
+    """The file is cut into many partitions by bytes, of which one would read all rows."""
+    wanted = parallelism(spark.sparkContext.defaultParallelism, "1")
+    rows = spark.range(0, 50_000, 1, 1).selectExpr("id AS src_id", "0 AS src_partition", "sha2(CAST(id AS STRING), 256) AS value")
+    rows.write.format(format).save(f"{folder}/in")
+    columns = {"src_id": "src_id", "src_partition": "src_partition", "src_ts": "CAST(NULL AS TIMESTAMP_NTZ)", "value": "value"}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        assert spark.read.format(format).load(f"{folder}/in").rdd.getNumPartitions() >= wanted
+        lines = read_lines(spark, format, {}, columns=columns, path=f"{folder}/in")
+        parts = [r["count"] for r in lines.groupBy(F.spark_partition_id().alias("part")).count().collect()]
+        assert sum(parts) == lines.select("src_id").distinct().count() == 50_000
+        assert max(parts) <= 50_000 // wanted
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
