@@ -22,7 +22,7 @@ from rillet.llm.mixing import Mix, mix_documents, mixed
 from rillet.llm.near_dedup import near_groups, representatives
 from rillet.llm.pii import CARD, DIGIT, IP, PHONE, base_spans, is_luhn, personal_data, shape
 from rillet.llm.queries import ORACLES, QUERIES
-from rillet.llm.suffix_dedup import Repeats, without_repeats
+from rillet.llm.suffix_dedup import Repeats, _by_counting, _by_sorting, without_repeats
 from rillet.llm.suffix_sort import deep_shallow_order
 from rillet.llm.token_counts import encoding, token_counts
 
@@ -314,6 +314,28 @@ def test_deep_shallow_order():
         assert [strings[n] for n in deep_shallow_order(strings, 0, shallow)] == sorted(strings)
 
 
+@pytest.mark.parametrize("method", [_by_sorting, _by_counting])
+def test_one_range_for_each_segment(spark, method):
+    """However many strings a segment shares with others: the number of ranges is that of the segments."""
+    rule, picks = Repeats(40, 20), random.Random(5)
+    base = picks.randbytes(59)
+    rows = []
+    for n in range(60):
+        left, right = bytearray(base[:19]), bytearray(base[19:])
+        left[picks.randrange(19)] ^= 1 + n
+        right[picks.randrange(21, 40)] ^= 1 + n
+        rows.append((7, n, n, 0, bytes(left), bytes(right)))
+    windows = Counter(row[4][19 - d :] + row[5][: 40 - d] for row in rows for d in range(20))
+    expected = {}
+    for row in rows:
+        shared = [d for d in range(20) if windows[row[4][19 - d :] + row[5][: 40 - d]] > 1]
+        if shared:
+            expected[row[1]] = (min(shared), max(shared))
+    bodies = spark.createDataFrame(rows, "head long, one long, two long, after long, left binary, right binary")
+    found = [(r["one"], (r["near"], r["far"])) for r in method(bodies, rule).collect()]
+    assert len(found) == len(expected) > 20 and dict(found) == expected
+
+
 @pytest.mark.parametrize("rule", [Repeats(40, 20, 64, 2000), Repeats(40, 20, 1000, 3)])
 def test_without_repeats(spark, docs, rule):
     rng = random.Random(5)
