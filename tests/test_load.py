@@ -1,10 +1,12 @@
 """Loading: the cases of a loader with good, bad, mixed, new and failing input."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from rillet.plans import load_batch as plan
 from rillet.plans.load_batch import FatalWriteError, LoadOptions, load_batch
 from rillet.sinks import table as tables
 from rillet.sinks.failed_events import FailedEventSink
@@ -174,6 +176,48 @@ def test_without_persisting(spark, options):
     assert spark.table(options.table).count() == 1 and failed(spark, options).count() == 2
 
 
+@pytest.fixture
+def appended(monkeypatch, folder):
+    """For each append: whether its rows come from Spark's cache, and whether staged rows are there."""
+    seen, append = [], plan.append_rows
+
+    def watched(rows, *args):
+        seen.append(("InMemoryRelation" in rows._jdf.queryExecution().withCachedData().toString(), os.path.exists(f"{folder}/staged")))
+        append(rows, *args)
+
+    monkeypatch.setattr(plan, "append_rows", watched)
+    monkeypatch.setattr(plan, "shared_folder", lambda _: f"{folder}/staged")
+    return seen
+
+
+def test_stored_table_is_not_cached(spark, options, folder, appended):
+    """A batch of any size is staged: a task that caches a partition holds most of its rows on the heap.  The staged rows go."""
+    result = load_batch(frame(spark, [line(unstruct_event=XYZ), line(), *BAD_LINES]).repartition(3), options)
+    assert (result.good, result.bad) == (2, 2)
+    assert spark.table(options.table).count() == 2 and failed(spark, options).count() == 2
+    assert appended == [(False, True)] and not os.path.exists(f"{folder}/staged")
+    # A small batch has one writer, also if many tasks parsed it.
+    assert len([name for name in os.listdir(f"{folder}/table") if name.endswith(".parquet")]) == 1
+
+
+def test_staged_rows_go_after_a_fault(spark, options, folder, appended):
+    checks = [(F.lit(True), "INTERNAL_ERROR", "internal")]
+    with pytest.raises(FatalWriteError):
+        load_batch(frame(spark, [line()]), with_(options, validators=checks))
+    assert not appended and not os.path.exists(f"{folder}/staged")
+    load_batch(frame(spark, []), options)
+    assert not os.path.exists(f"{folder}/staged")
+
+
+@pytest.mark.parametrize("persist", [None, True, False])
+def test_cache_of_a_stream(spark, stream_folder, options, appended, persist):
+    """Bounded micro-batches stay in the cache unless the options say otherwise."""
+    put(stream_folder, "a", [line(), *BAD_LINES])
+    start(spark, stream_folder, with_(options, persist=persist)).awaitTermination()
+    assert spark.table(options.table).count() == 1 and failed(spark, options).count() == 2
+    assert appended == [(persist is not False, persist is False)]
+
+
 # -- streams of text files ------------------------------------------------------------
 
 
